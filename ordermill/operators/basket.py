@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
 from ordermill.functions import checks, money, people, times
-from ordermill.operators.joins import spread_join
+from ordermill.operators.joins import join_keyed
 
 
 def category_copurchase(orders: DataFrame, min_users: int = 5, k: int = 20) -> DataFrame:
@@ -57,11 +57,11 @@ def _given(orders: DataFrame, name: str, derived):
     return F.coalesce(F.col(name), derived) if name in orders.columns else derived
 
 
-def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame, **spread) -> DataFrame:
+def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame, **sizes: int) -> DataFrame:
     """Orders with category, region, gender and age group of their customer and product."""
     who = users.select("user_id", F.struct("address", "gender", "age").alias("_user"))
     what = products.select("product_id", F.struct("category").alias("_product"))
-    joined = spread_join(spread_join(orders, who, "user_id", **spread), what, "product_id", **spread)
+    joined = join_keyed(join_keyed(orders, who, "user_id", **sizes), what, "product_id", **sizes)
     filled = {
         "category": _given(orders, "category", F.col("_product.category")),
         "user_region": _given(orders, "user_region", people.first_region(F.col("_user.address"))),
@@ -71,11 +71,12 @@ def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame,
     return joined.withColumns(filled).select(*orders.columns, *[c for c in filled if c not in orders.columns])
 
 
-def reject_orphans(orders: DataFrame, users: DataFrame, products: DataFrame, **spread) -> DataFrame:
+def reject_orphans(orders: DataFrame, users: DataFrame, products: DataFrame, **sizes: int) -> DataFrame:
     """Orders whose customer or product is missing, with the reason."""
     known_user = users.select("user_id", F.lit(True).alias("_user"))
     known_product = products.select("product_id", F.lit(True).alias("_product"))
-    checked = spread_join(spread_join(orders, known_user, "user_id", "left", **spread), known_product, "product_id", "left", **spread)
+    checked = join_keyed(orders, known_user, "user_id", "left", **sizes)
+    checked = join_keyed(checked, known_product, "product_id", "left", **sizes)
     no_user, no_product = F.col("_user").isNull(), F.col("_product").isNull()
     return (
         checked.where(no_user | no_product)

@@ -1,44 +1,69 @@
-"""Joins of a large table with a keyed one, safe against keys that hold a large share of the rows."""
+"""Joins of many rows with a keyed table, safe against keys that hold a large share of the rows.
+
+Three cases, told apart by looking at the data:
+a small table is broadcast, after its size was checked; a large one is joined by key, as Catalyst sees
+fit; and if some keys hold a large share of the rows, their rows are cut into slices first.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SMALL_ROWS = 100_000
 PIECES = 1000
-MIN_HOT_ROWS = 1_000_000
+HOT_ROWS = 1_000_000
+
 
+def is_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether ``table`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
+    return table.select(F.lit(1)).offset(max_rows).isEmpty()
 
-def hot_keys(fact: DataFrame, key: str, pieces: int = PIECES, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+
+def hot_keys(rows: DataFrame, key: str, pieces: int = PIECES, min_rows: int = HOT_ROWS) -> DataFrame:
     """Keys that hold more than one ``pieces``-th of the rows, with the number of slices each needs.
 
-    At most ``pieces`` keys can pass, and their slices add up to at most twice ``pieces``, whatever the
-    size of ``fact``; both results are therefore safe to broadcast and to replicate.
+    At most ``pieces`` keys can pass and their slices add up to at most twice ``pieces``, whatever the
+    size of ``rows``.  Only the key column is read and counts are combined before the shuffle.
     """
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where((F.col("_rows") >= min_rows) & (F.col("_rows") * pieces > total)).select(
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    large = counts.where(F.col("_rows") >= min_rows)
+    total = rows.select(key).agg(F.count(key)).scalar()
+    return large.where(F.col("_rows") * pieces > total).select(
         key, F.ceil(F.col("_rows") * pieces / total).cast("int").alias("_slices")
     )
 
 
-def spread_join(
-    fact: DataFrame,
-    dim: DataFrame,
+def join_keyed(
+    rows: DataFrame,
+    table: DataFrame,
     key: str,
     how: str = "inner",
+    small_rows: int = SMALL_ROWS,
     pieces: int = PIECES,
-    min_rows: int = MIN_HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``fact`` joined with ``dim`` (one row per key), rows of hot keys spread over many tasks.
+    """``rows`` joined with ``table``, which has one row per key.
 
-    Only hot keys are sliced: their rows by a hash of the row, their single ``dim`` row by copying it to
-    each slice.  Rows without a key match nothing, so they are spread as well.
+    Counting keys reads the key column of ``rows`` once more; ``settle`` it first if it is costly.
     """
-    hot = hot_keys(fact, key, pieces, min_rows)
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    if is_small(table, small_rows):
+        return rows.join(F.broadcast(table), key, how)
+    hot = hot_keys(rows, key, pieces, hot_rows)
+    found = hot.collect()  # at most ``pieces`` rows, see hot_keys
+    if not found:
+        return rows.join(table, key, how)
+    return _sliced_join(rows, table, key, how, rows.sparkSession.createDataFrame(found, hot.schema), pieces)
+
+
+def _sliced_join(rows: DataFrame, table: DataFrame, key: str, how: str, hot: DataFrame, pieces: int) -> DataFrame:
+    """Rows of hot keys go to slices by a hash of the row; the one table row of such a key is copied to each.
+
+    Rows without a key match nothing, so they are spread as well.
+    """
+    row_hash = F.xxhash64(*[F.col(c) for c in rows.columns])
     sliced = (
-        fact.join(F.broadcast(hot), key, "left")
+        rows.join(F.broadcast(hot), key, "left")
         .withColumn(
             "_slice",
             F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(pieces)))
@@ -48,19 +73,8 @@ def spread_join(
         .drop("_slices")
     )
     copies = (
-        dim.join(F.broadcast(hot), key, "left")
+        table.join(F.broadcast(hot), key, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_slices")
     )
     return sliced.join(copies, [key, "_slice"], how).drop("_slice")
-
-
-def join_small(rows: DataFrame, table: DataFrame, key: str, how: str = "left", max_rows: int = 10_000) -> DataFrame:
-    """Join with a keyed table that is usually a dimension of a few rows.
-
-    It is broadcast only after its size was checked (the check reads at most ``max_rows`` + 1 rows);
-    a larger one goes through ``spread_join``, because such keys are few and each holds many rows.
-    """
-    if table.limit(max_rows + 1).count() <= max_rows:
-        return rows.join(F.broadcast(table), key, how)
-    return spread_join(rows, table, key, how)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions import seeded
-from ordermill.operators.joins import join_small
+from ordermill.operators.joins import join_keyed
 
 
 def weighted_sample(items: DataFrame, key: str, weight: str, n: int, seed: int | str = 42) -> DataFrame:
@@ -100,8 +100,13 @@ def categorical_assign(
     entry = F.struct("low", "high", option)
     per_group = choices.groupBy(group).agg(F.sort_array(F.collect_list(entry)).alias("_options"))
     fallback = per_group.where(F.col(group) == F.lit(default)).select("_options").scalar()
-    options = F.coalesce("_options", fallback)
+    options = F.col("_options")
     u = seeded.uniform(F.col(key), seed)
     hit = F.filter(options, lambda o: (u >= o["low"]) & (u < o["high"]))
     chosen = F.coalesce(F.get(hit, F.lit(0)), F.try_element_at(options, F.lit(-1)))  # rounding of the last edge
-    return join_small(rows, per_group, group).withColumn(option, chosen[option]).drop("_options")
+    return (
+        join_keyed(rows, per_group, group, "left")
+        .withColumn("_options", F.coalesce("_options", fallback))
+        .withColumn(option, chosen[option])
+        .drop("_options")
+    )

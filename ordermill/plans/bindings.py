@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import money, seeded
 from ordermill.operators import ingest
-from ordermill.operators.joins import spread_join
+from ordermill.operators.joins import join_keyed
 
 # First day from which on a customer or product counts as not ordered yet.
 USER_CUT = "1995-06-01"
@@ -116,7 +116,7 @@ class Tables:
     def lines_with(self, *order_columns: str) -> DataFrame:
         """Lines with columns of their order; an order with very many lines is spread."""
         kept = self.lines.drop("created_at") if "created_at" in order_columns else self.lines
-        return spread_join(kept, self.orders.select("order_id", *order_columns), "order_id")
+        return join_keyed(kept, self.orders.select("order_id", *order_columns), "order_id")
 
     @cached_property
     def events(self) -> DataFrame:

@@ -147,16 +147,16 @@ query(
 query(
     "order_amounts",
     """SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id, CAST(greatest(
-        CAST(CAST(l_extendedprice / l_quantity AS DECIMAL(18,2)) * CAST(l_quantity AS INTEGER) + CASE WHEN l_quantity < 10 THEN 2500 ELSE 0 END
-        - CAST(l_extendedprice * l_discount * 20 AS DECIMAL(18,2)) AS DECIMAL(38,2)), 0) AS DOUBLE) AS total_amount FROM lineitem""",
+        CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_quantity AS INTEGER) + CASE WHEN l_quantity < 10 THEN 2500 ELSE 0 END
+        - CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) * 20, 0) AS DOUBLE) AS total_amount FROM lineitem""",
 )(
     lambda t: basket.order_amounts(
         t.raw("lineitem").select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("product_id"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,2)").alias("price"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
             F.col("l_quantity").cast("int").alias("quantity"),
             F.when(F.col("l_quantity") < 10, 2500).otherwise(0).alias("shipping_cost"),
-            (F.col("l_extendedprice") * F.col("l_discount") * 20).cast("decimal(18,2)").alias("discount_amount"),
+            (F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)") * 20).alias("discount_amount"),
         )
     ).select("order_id", "line", "product_id", "total_amount")
 )

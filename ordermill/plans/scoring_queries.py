@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ordermill import fixed_values as fixed
 from ordermill.functions import people, times
 from ordermill.operators import planning, sampling, scoring
-from ordermill.operators.joins import spread_join
+from ordermill.operators.joins import join_keyed
 from ordermill.plans.bindings import EVENTS, ORDERS, PRODUCTS, SEED, USERS, Tables, u32, with_views
 from ordermill.plans.registry import query
 from ordermill.sources import rules
@@ -205,7 +205,7 @@ def categorical_assign(t: Tables):
     choices = sampling.choice_table(
         t.spark.createDataFrame(options, "position int, class string, method string, weight int"), "class", "method", "weight", "position"
     )
-    buyers = spread_join(t.orders.select("order_id", "user_id"), t.users.select("user_id", "age"), "user_id")
+    buyers = join_keyed(t.orders.select("order_id", "user_id"), t.users.select("user_id", "age"), "user_id")
     classed = buyers.select("order_id", people.payment_class(F.col("age")).alias("class"))
     return sampling.categorical_assign(classed, "order_id", choices, "class", "method", SEED).select("order_id", "method")
 
@@ -239,7 +239,7 @@ query("calendar_plan", f"WITH {PLAN}, x AS (SELECT DISTINCT CAST(o_orderdate AS
     lambda t: planning.calendar_plan(t.orders.select(F.col("created_at").cast("date").alias("day")).distinct())
 )
 VOLUME = "volume(hour, share) AS (VALUES " + ", ".join(f"({h}, {v / sum(fixed.HOUR_VOLUME)!r}::DOUBLE)" for h, v in enumerate(fixed.HOUR_VOLUME)) + ")"
-CUT = f"""{with_views(VOLUME)}, d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(o_totalprice) // 1000 AS BIGINT) AS orders FROM orders GROUP BY 1),
+CUT = f"""{with_views(VOLUME)}, d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(floor(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1000) AS BIGINT) AS orders FROM orders GROUP BY 1),
     c AS (SELECT day, orders, hour, CAST(floor(orders * share) AS BIGINT) AS n, floor(orders * share) - orders * share AS lack FROM d CROSS JOIN volume),
     r AS (SELECT *, orders - sum(n) OVER (PARTITION BY day) AS rest, row_number() OVER (PARTITION BY day ORDER BY lack, hour) AS turn FROM c)"""
 

@@ -69,14 +69,13 @@ def scenario_weights(documents: DataFrame, value: str = "value") -> DataFrame:
         ("category", F.map_entries("s.category_weights")),
         ("quantity", by_quantity),
     ]
-    tagged = [
-        F.transform(
-            F.coalesce(e, F.array().cast("array<struct<key:string,value:double>>")),
-            lambda x, dim=dim: F.struct(F.lit(dim).alias("dim"), x["key"].alias("key"), x["value"].alias("weight")),
-        )
-        for dim, e in entries
-    ]
-    return scenarios.select("scenario_id", F.inline(F.concat(*tagged)))
+
+    def tagged(dim: str, pairs: Column) -> Column:
+        none = F.array().cast("array<struct<key:string,value:double>>")
+        row = lambda x: F.struct(F.lit(dim).alias("dim"), x["key"].alias("key"), x["value"].alias("weight"))
+        return F.transform(F.coalesce(pairs, none), row)
+
+    return scenarios.select("scenario_id", F.inline(F.concat(*[tagged(dim, pairs) for dim, pairs in entries])))
 
 
 def scenario_settings(documents: DataFrame, value: str = "value") -> DataFrame:
