@@ -13,8 +13,8 @@ def digest(key: Column, seed: int | str) -> Column:
 
 
 def draw32(key: Column, seed: int | str) -> Column:
-    """Integer, uniform in [0, 2**32)."""
-    return F.conv(F.substring(digest(key, seed), 1, 8), 16, 10).cast("bigint")
+    """Integer, uniform in [0, 2**32); a NULL key draws 0, so the result never is NULL."""
+    return F.coalesce(F.conv(F.substring(digest(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def uniform(key: Column, seed: int | str) -> Column:

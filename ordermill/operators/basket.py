@@ -58,15 +58,23 @@ def _given(orders: DataFrame, name: str, derived):
 
 
 def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame, **sizes: int) -> DataFrame:
-    """Orders with category, region, gender and age group of their customer and product."""
-    who = users.select("user_id", F.struct("address", "gender", "age").alias("_user"))
-    what = products.select("product_id", F.struct("category").alias("_product"))
+    """Orders with category, region, gender and age group of their customer and product.
+
+    Labels are made on the customer side, once per customer and not once per order.
+    """
+    who = users.select(
+        "user_id",
+        people.first_region(F.col("address")).alias("_region"),
+        F.col("gender").alias("_gender"),
+        people.age_decade(F.col("age")).alias("_age_group"),
+    )
+    what = products.select("product_id", F.col("category").alias("_category"))
     joined = join_keyed(join_keyed(orders, who, "user_id", **sizes), what, "product_id", **sizes)
     filled = {
-        "category": _given(orders, "category", F.col("_product.category")),
-        "user_region": _given(orders, "user_region", people.first_region(F.col("_user.address"))),
-        "user_gender": _given(orders, "user_gender", F.col("_user.gender")),
-        "user_age_group": _given(orders, "user_age_group", people.age_decade(F.col("_user.age"))),
+        "category": _given(orders, "category", F.col("_category")),
+        "user_region": _given(orders, "user_region", F.col("_region")),
+        "user_gender": _given(orders, "user_gender", F.col("_gender")),
+        "user_age_group": _given(orders, "user_age_group", F.col("_age_group")),
     }
     return joined.withColumns(filled).select(*orders.columns, *[c for c in filled if c not in orders.columns])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import seeded
 from ordermill.operators.joins import join_keyed
+from ordermill.session import settle
 
 
 def weighted_sample(items: DataFrame, key: str, weight: str, n: int, seed: int | str = 42) -> DataFrame:
@@ -57,11 +58,11 @@ def weighted_draws(
 
     A draw is a point on the line of running totals.  The line is cut into equal cells and the join is
     on the cell: points are uniform, so cells are equally full, and an item with a large weight is
-    copied to the many cells it spans, so it is spread as well.
+    copied to the many cells it spans, so it is spread as well.  Weights are computed once and settled.
     """
-    positive = items.where(F.col(weight) > 0).select(item_key, F.col(weight).cast("decimal(18,4)").alias("_w"))
+    positive = settle(items.where(F.col(weight) > 0).select(item_key, F.col(weight).cast("decimal(18,4)").alias("_w")))
     spans = prefix_sums(positive, item_key, "_w", digits)
-    total = positive.agg(F.sum("_w").cast("double")).scalar()
+    total = F.lit(positive.agg(F.sum("_w").cast("double")).first()[0])
     edges = spans.select(item_key, F.col("low").cast("double").alias("_low"), F.col("high").cast("double").alias("_high"))
 
     def cell(point: Column) -> Column:

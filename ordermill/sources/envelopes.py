@@ -25,17 +25,18 @@ def envelope_schema(entity: str, payload: T.StructType) -> T.StructType:
 def decode(raw: DataFrame, entity: str = "order", payload: T.StructType = schemas.ORDER_EVENT, value: str = "value") -> DataFrame:
     """Adds the decoded struct as a column named ``entity``; it is NULL when nothing could be read.
 
-    The payload sits under its entity name, under "data", or at the top level.
+    The payload sits under its entity name, under "data", or at the top level.  Parsing inside one
+    generated row keeps it to once per message: a later filter or field access cannot be pushed into
+    the parser call and repeat it.
     """
     key = schemas.required_key(payload)
-    message = F.from_json(F.col(value).cast("string"), envelope_schema(entity, payload))
-    flat = F.when(F.col(f"_m.{key}").isNotNull(), F.struct(*[F.col(f"_m.{f.name}") for f in payload.fields]))
-    return (
-        raw.withColumn("_m", message)
-        .withColumn(entity, F.coalesce(F.col(f"_m.{entity}"), F.col("_m.data"), flat))
-        .withColumn("event_type", F.col("_m.event_type"))
-        .drop("_m")
-    )
+
+    def payload_of(message: Column) -> Column:
+        flat = F.when(message[key].isNotNull(), F.struct(*[message[f.name].alias(f.name) for f in payload.fields]))
+        return F.coalesce(message[entity], message["data"], flat)
+
+    parsed = F.from_json(F.col(value).cast("string"), envelope_schema(entity, payload))
+    return raw.select("*", F.explode(F.transform(F.array(parsed), payload_of)).alias(entity))
 
 
 def decode_envelope(raw: DataFrame, entity: str = "order", payload: T.StructType = schemas.ORDER_EVENT, value: str = "value") -> DataFrame:
