@@ -60,14 +60,13 @@ def grade_update_stats(updated: DataFrame, rules: g.Rules = fixed.GRADES) -> Dat
 
 
 def run_calendar(start: Moment, end: Moment, every_days: int = fixed.GRADE_RUN_INTERVAL_DAYS) -> list[date]:
-    """Run days: every ``every_days`` after ``start``, and ``end`` itself."""
+    """Run days: every ``every_days`` after ``start``, then a closing run on ``end``.
+
+    When the pace itself falls on ``end`` that day has two runs, each of which may demote.
+    """
     first, last = moment(start).date(), moment(end).date()
-    runs = []
-    day = first + timedelta(days=every_days)
-    while day < last:
-        runs.append(day)
-        day += timedelta(days=every_days)
-    return runs + [last]
+    paced = range(every_days, (last - first).days + 1, every_days)
+    return [first + timedelta(days=n) for n in paced] + [last]
 
 
 def _reach(spark, runs: list[date], lookback_days: int) -> DataFrame:
@@ -90,7 +89,7 @@ def grade_history(
     lookback_days: int = fixed.GRADE_LOOKBACK_DAYS,
     rules: g.Rules = fixed.GRADES,
 ) -> DataFrame:
-    """Grade of every customer after every run, orders of the run day included.
+    """Grade of every customer after every run (numbered from 1), orders of the run day included.
 
     A window total changes only when an order enters or leaves, so each order adds its amount at the
     first run that sees it and takes it back after the last; running sums give the totals of all runs
@@ -143,5 +142,8 @@ def grade_history(
     )
     days = F.array(*[F.lit(d.isoformat()).cast("date") for d in runs])
     return ranked.select(
-        "user_id", F.element_at(days, F.col("run") + 1).alias("run_date"), g.name_of(F.col("rank"), rules).alias("grade")
+        "user_id",
+        (F.col("run") + 1).alias("run"),
+        F.element_at(days, F.col("run") + 1).alias("run_date"),
+        g.name_of(F.col("rank"), rules).alias("grade"),
     )

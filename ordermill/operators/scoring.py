@@ -132,7 +132,7 @@ def residual_weights(overrides: DataFrame, categories: DataFrame) -> DataFrame:
     rest = F.greatest((100 - F.col("_given")).cast("double") / F.size(F.array_except("_all", "_named")), F.lit(0.5))
     return (
         per_scenario.withColumn("_all", names)
-        .withColumn("_rest", F.when(F.size(F.array_except("_all", "_named")) > 0, F.round(rest, 1)))
+        .withColumn("_rest", F.when(F.size(F.array_except("_all", "_named")) > 0, F.bround(rest, 1)))
         .select("scenario_id", F.explode(F.array_union("_all", "_named")).alias("category"), "_weights", "_rest")
         .select("scenario_id", "category", F.coalesce(F.try_element_at("_weights", F.col("category")), F.col("_rest")).alias("weight"))
     )

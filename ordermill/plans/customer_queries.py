@@ -93,7 +93,7 @@ def history(t: Tables):
     return grades.grade_history(t.users, t.orders, RUNS, 365, RULES)
 
 
-query("grade_history", f"{HISTORY_SQL} SELECT user_id, d AS run_date, {NAMES_SQL}[rank + 1] AS grade FROM path WHERE run >= 0")(history)
+query("grade_history", f"{HISTORY_SQL} SELECT user_id, run + 1 AS run, d AS run_date, {NAMES_SQL}[rank + 1] AS grade FROM path WHERE run >= 0")(history)
 query(
     "grade_trend",
     f"{HISTORY_SQL} SELECT d AS run_date, {NAMES_SQL}[rank + 1] AS grade, count(*) AS customers FROM path WHERE run >= 0 GROUP BY 1, 2",
