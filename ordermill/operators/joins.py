@@ -24,11 +24,12 @@ def hot_keys(rows: DataFrame, key: str, pieces: int = PIECES, min_rows: int = HO
     """Keys that hold more than one ``pieces``-th of the rows, with the number of slices each needs.
 
     At most ``pieces`` keys can pass and their slices add up to at most twice ``pieces``, whatever the
-    size of ``rows``.  Only the key column is read and counts are combined before the shuffle.
+    size of ``rows``.  Only the key column is read and counts are combined before the shuffle.  A missing
+    key counts as a key.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     large = counts.where(F.col("_rows") >= min_rows)
-    total = rows.select(key).agg(F.count(key)).scalar()
+    total = counts.agg(F.sum("_rows")).scalar()  # reuses the shuffle of the counts
     return large.where(F.col("_rows") * pieces > total).select(
         key, F.ceil(F.col("_rows") * pieces / total).cast("int").alias("_slices")
     )
@@ -49,6 +50,8 @@ def join_keyed(
     """
     if is_small(table, small_rows):
         return rows.join(F.broadcast(table), key, how)
+    if how == "inner":
+        rows = rows.where(F.col(key).isNotNull())
     hot = hot_keys(rows, key, pieces, hot_rows)
     found = hot.collect()  # at most ``pieces`` rows, see hot_keys
     if not found:

@@ -29,12 +29,13 @@ def days_between(spark, start: Moment, end: Moment) -> DataFrame:
 def calendar_plan(days: DataFrame, plan: DataFrame | None = None) -> DataFrame:
     """Planned orders per day: month target / days x week weight x weekday factor, cut to an integer.
 
-    A week without an entry uses scenario 0 with weight 1.  The plan has at most one row per month and
-    week, 48 in all.
+    A week without an entry uses scenario 0 with weight 1.  One row per month and week of a calendar is
+    at most 48 rows, which is what makes them safe to broadcast.
     """
     plan = plan_table(days.sparkSession) if plan is None else plan
     day = F.col("day")
-    month_base = F.broadcast(plan.groupBy("month").agg(F.first("base_orders").alias("base_orders")))
+    plan = plan.where(F.col("month").between(1, 12) & F.col("week").between(1, 4)).dropDuplicates(["month", "week"])
+    month_base = F.broadcast(plan.groupBy("month").agg(F.max("base_orders").alias("base_orders")))
     weeks = F.broadcast(plan.select("month", "week", "scenario_id", "weight"))
     daily = F.col("base_orders") / F.dayofmonth(F.last_day(day)) * F.coalesce("weight", F.lit(1.0)) * times.weekday_factor(day)
     return (

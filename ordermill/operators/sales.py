@@ -136,12 +136,12 @@ def _by_region(orders: DataFrame, users: DataFrame) -> DataFrame:
 def region_orders(orders: DataFrame, users: DataFrame, geo: DataFrame | None = None) -> DataFrame:
     """Orders per district with its coordinates; a district off the map has none."""
     geo = districts(orders.sparkSession) if geo is None else geo
-    return _by_region(orders, users).join(F.broadcast(geo), "district", "left").select("district", "orders", "latitude", "longitude")
+    return _by_region(orders, users).join(geo, "district", "left").select("district", "orders", "latitude", "longitude")
 
 
 def region_revenue(orders: DataFrame, users: DataFrame, geo: DataFrame | None = None) -> DataFrame:
     geo = districts(orders.sparkSession) if geo is None else geo
-    return _by_region(orders, users).join(F.broadcast(geo), "district", "left").select("district", "revenue", "latitude", "longitude")
+    return _by_region(orders, users).join(geo, "district", "left").select("district", "revenue", "latitude", "longitude")
 
 
 def monthly_orders(orders: DataFrame, start: Moment, end: Moment) -> DataFrame:

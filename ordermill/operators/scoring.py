@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
 from ordermill.functions import people, seeded
+from ordermill.operators.joins import join_keyed
 
 
 def base_points(age: Column, gender: Column, status: Column, marketing: Column, grade: Column) -> Column:
@@ -73,15 +74,14 @@ def top_buyers(users: DataFrame, n: int, hour: int, seed: int | None = None) ->
     return propensity_score(users, hour, seed).orderBy(F.desc("propensity"), "user_id").limit(n)
 
 
-def as_map(table: DataFrame, key: str, value: str) -> Column:
-    """A dimension of one document (a handful of keys) as one map value, evaluated once per query."""
-    return table.agg(F.map_from_entries(F.collect_list(F.struct(key, value)))).scalar()
-
-
-def _weight(weights: DataFrame, scenario: int, dim: str, key: Column, default: float) -> Column:
-    """Weight of ``key`` in one dimension of one scenario; ``weights`` is (scenario_id, dim, key, weight)."""
+def _with_weight(
+    rows: DataFrame, weights: DataFrame, scenario: int, dim: str, key: Column, default: float, name: str
+) -> DataFrame:
+    """Adds the weight of ``key`` in one dimension of one scenario; ``weights`` is (scenario_id, dim, key, weight)."""
     chosen = weights.where((F.col("scenario_id") == scenario) & (F.col("dim") == dim))
-    return F.coalesce(F.try_element_at(as_map(chosen, "key", "weight"), key), F.lit(default))
+    chosen = chosen.select(F.col("key").alias("_key"), F.col("weight").alias(name))
+    joined = join_keyed(rows.withColumn("_key", key), chosen, "_key", "left")
+    return joined.withColumn(name, F.coalesce(name, F.lit(default))).drop("_key")
 
 
 def scenario_user_weight(users: DataFrame, weights: DataFrame, scenario: int, live: bool = False) -> DataFrame:
@@ -89,32 +89,34 @@ def scenario_user_weight(users: DataFrame, weights: DataFrame, scenario: int, li
 
     Planned: propensity x gender weight / 50 x age weight / 20.  Live: gender weight x age weight.
     """
-    gender = _weight(weights, scenario, "gender", F.coalesce("gender", F.lit("M")), 50.0)
-    age = _weight(weights, scenario, "age", people.age_band(F.col("age")), 20.0)
-    raw = gender * age if live else F.col("propensity") * (gender / 50) * (age / 20)
-    return users.withColumn("weight", F.greatest(raw, F.lit(0.1)))
+    known = _with_weight(users, weights, scenario, "gender", F.coalesce("gender", F.lit("M")), 50.0, "_g")
+    known = _with_weight(known, weights, scenario, "age", people.age_band(F.col("age")), 20.0, "_a")
+    g, a = F.col("_g"), F.col("_a")
+    raw = g * a if live else F.col("propensity") * (g / 50) * (a / 20)
+    return known.withColumn("weight", F.greatest(raw, F.lit(0.1))).drop("_g", "_a")
 
 
-def _frequency(rules: DataFrame, category: Column) -> Column:
-    found = F.try_element_at(as_map(rules, "category", "order_frequency"), category)
-    return F.coalesce(found, F.lit(fixed.DEFAULT_FREQUENCY)).cast("double")
+def _with_frequency(products: DataFrame, rules: DataFrame) -> DataFrame:
+    frequency = rules.select("category", F.col("order_frequency").cast("double").alias("_f"))
+    joined = join_keyed(products, frequency, "category", "left")
+    return joined.withColumn("_f", F.coalesce("_f", F.lit(float(fixed.DEFAULT_FREQUENCY))))
 
 
 def scenario_product_weight(
     products: DataFrame, weights: DataFrame, rules: DataFrame, scenario: int, live: bool = False
 ) -> DataFrame:
     """Weight of a product, at least 0.1: category weight x order frequency / 10, or the category weight alone (live)."""
-    category = F.col("category")
     if live:
-        raw = _weight(weights, scenario, "category", category, 1.0)
-    else:
-        raw = _weight(weights, scenario, "category", category, 5.0) * (_frequency(rules, category) / 10)
-    return products.withColumn("weight", F.greatest(raw, F.lit(0.1)))
+        known = _with_weight(products, weights, scenario, "category", F.col("category"), 1.0, "_c")
+        return known.withColumn("weight", F.greatest("_c", F.lit(0.1))).drop("_c")
+    known = _with_weight(products, weights, scenario, "category", F.col("category"), 5.0, "_c")
+    raw = F.col("_c") * (F.col("_f") / 10)
+    return _with_frequency(known, rules).withColumn("weight", F.greatest(raw, F.lit(0.1))).drop("_c", "_f")
 
 
 def frequency_weight(products: DataFrame, rules: DataFrame) -> DataFrame:
     """Weight by order frequency alone."""
-    return products.withColumn("weight", _frequency(rules, F.col("category")))
+    return _with_frequency(products, rules).withColumnRenamed("_f", "weight")
 
 
 def residual_weights(overrides: DataFrame, categories: DataFrame) -> DataFrame:
@@ -151,7 +153,7 @@ def scenario_for_hour(scenarios: DataFrame, hours: DataFrame) -> DataFrame:
     base = scenarios.where(F.col("scenario_id") == 0)
     weights, low, high = [base.select(c).scalar() for c in ("weights", "volume_min", "volume_max")]
     named = [0, *sorted(set(fixed.HOUR_SCENARIO.values()))]
-    settings = scenarios.where(F.col("scenario_id").isin(named))  # one row for each of three ids
+    settings = scenarios.where(F.col("scenario_id").isin(named)).dropDuplicates(["scenario_id"])  # at most three rows
     night = F.col("scenario_id") == fixed.NIGHT_SCENARIO
     return (
         hours.withColumn("scenario_id", scenario_of_hour(F.col("hour")))

@@ -142,8 +142,22 @@ def stream_ingest(t: Tables):
     run = uuid.uuid4().hex
     folder = f"{shared_folder(t.spark)}/streams/{run}"
     raw = events.read_event_stream(t.spark, t.folder, "parquet", schema=t.raw("events").schema, pathGlobFilter="events.parquet")
-    ingest.start_ingest(messages(raw), folder, name=f"ingest_{run}").awaitTermination()
-    return ingest.ingested_orders(t.spark, folder).drop("user_region", "arrived_at")
+    jobs.await_all(ingest.start_ingest(messages(raw), folder, name=f"ingest_{run}"))
+    return ingest.ingested_orders(t.spark, folder).drop("user_region")
+
+
+@query(
+    "bulk_load",
+    f"""WITH {MESSAGES} SELECT 'P' || quantity AS product_id, count(*) AS order_count FROM messages_v
+        WHERE category NOT IN ('error', 'signup') AND copy = 0 GROUP BY 1""",
+)
+def bulk_load(t: Tables):
+    """Two loads, the second repeating half of the first; counters move once per order."""
+    folder = f"{shared_folder(t.spark)}/loads/{uuid.uuid4().hex}"
+    sent = messages(t.raw("events"))
+    ingest.load_batch(sent.where("value LIKE '%\"click\"%'"), 0, folder)
+    ingest.load_batch(sent, 1, folder)
+    return ingest.product_order_counts(t.spark, folder)
 
 
 @query(

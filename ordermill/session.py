@@ -14,6 +14,7 @@ def build_session(app: str = "ordermill", master: str | None = None, **settings:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # plans are built faster
         .config("spark.sql.streaming.stateStore.providerClass",

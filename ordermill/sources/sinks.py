@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,13 +84,42 @@ def newest_rows(log: DataFrame, key: list[str], version: str = "batch_id") -> Da
     return log.groupBy(*key).agg(newest).select(*key, "_row.*")
 
 
+def _base(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """The newest compacted table and the last batch it covers."""
+    try:
+        tables = spark.read.parquet(f"{path}_base")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return -1, None
+    upto = tables.agg(F.max("upto")).first()[0]
+    return upto, tables.where(F.col("upto") == upto).drop("upto")
+
+
+def _keyed(spark: SparkSession, path: str, key: list[str], until: int | None) -> DataFrame:
+    upto, base = _base(spark, path)
+    log = batches(spark, path).where(F.col("batch_id") > upto)  # prunes folders
+    if until is not None:
+        log = log.where(F.col("batch_id") <= until)
+    if base is not None:
+        log = log.unionByName(base.withColumn("batch_id", F.lit(upto)))
+    return newest_rows(log, key)
+
+
 def read_keyed(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    return newest_rows(batches(spark, path), key)
+    """The current row of every key: the compacted table and the batches after it."""
+    return _keyed(spark, path, key, None)
+
 
+def compact_keyed(spark: SparkSession, path: str, key: list[str]) -> int:
+    """Merges the batches so far into a new compacted table; later reads skip their folders.
 
-def compact_keyed(spark: SparkSession, path: str, into: str, key: list[str]) -> None:
-    """Writes the current rows as the first folder of a new log."""
-    append_folder(into)(read_keyed(spark, path, key), 0)
+    A stream may go on writing meanwhile.  Returns the last batch merged, so that a retention job knows
+    which folders are no longer read.
+    """
+    until = batches(spark, path).agg(F.max("batch_id")).first()[0]
+    _keyed(spark, path, key, until).write.mode("overwrite").parquet(f"{path}_base/upto={until}")
+    return until
 
 
 def write_pool_snapshot(pool: DataFrame, path: str, as_of: Moment) -> None:

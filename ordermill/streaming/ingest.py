@@ -1,8 +1,11 @@
-"""Continuous ingestion of order events: decode, set aside, insert once, move counters once.
+"""Ingestion of order events: decode, set aside, insert once, move counters once.
 
-Everything a batch changes goes to folders named by its batch id, in overwrite mode, and depends only on
-earlier batches.  A repeated batch therefore writes the same rows again, and counters, which are sums over
-the inserted rows, cannot move twice.
+Everything a batch changes goes to folders named by its batch id, in overwrite mode.  A repeated batch
+writes the same rows again, and counters, which are sums over the inserted rows, cannot move twice.
+
+Which orders are known already is answered in two ways.  A stream keeps the ids in its state store (on
+disk with the provider of ``session.build_session``), so a batch costs one lookup per arriving order, no
+matter how many are stored.  A bulk load compares with the stored ids by one join.
 """
 
 from __future__ import annotations
@@ -18,44 +21,78 @@ from ordermill.operators import ingest
 from ordermill.sources import envelopes, sinks
 from ordermill.streaming.jobs import _triggered
 
-_KEYS = T.StructType([T.StructField("order_id", T.StringType()), T.StructField("batch_id", T.LongType())])
 
+def _checked(raw: DataFrame, payload: T.StructType) -> DataFrame:
+    reason = ingest.reject_reason(F.col("order"), schemas.required_key(payload))
+    return envelopes.decode(raw, "order", payload).withColumn("reason", reason)
 
-def _earlier_keys(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
-    """Order ids of the batches before this one; only the key column is read."""
-    if batch_id == 0:
-        return spark.createDataFrame([], _KEYS)
-    rows = spark.read.schema(_KEYS).parquet(f"{folder}/orders")
-    return rows.where(F.col("batch_id") < batch_id)
 
+def _accepted(checked: DataFrame, *keep: str) -> DataFrame:
+    return checked.where(F.col("reason").isNull()).select("order.*", *keep)
 
-def ingest_batch(batch: DataFrame, batch_id: int, folder: str, payload: T.StructType = schemas.ORDER_EVENT, arrival: tuple[str, ...] = ("arrived_at",)) -> None:
-    """One micro-batch of raw messages (``value`` and the ``arrival`` columns that order copies)."""
-    spark = batch.sparkSession
-    key = schemas.required_key(payload)
-    decoded = envelopes.decode(batch, "order", payload).withColumn("reason", ingest.reject_reason(F.col("order"), key)).persist()
-    try:
-        good = decoded.where(F.col("reason").isNull()).select("order.*", *arrival)
-        fresh = ingest.insert_if_absent(good, [key], list(arrival), _earlier_keys(spark, folder, batch_id))
+
+def _rejected(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("value"), "reason")
+
+
+def _store(folder: str) -> sinks.BatchWriter:
+    """Writes new orders, then what they add to the counters, read back from what was written."""
+    def write(fresh: DataFrame, batch_id: int) -> None:
         sinks.append_folder(f"{folder}/orders")(fresh, batch_id)
-        bad = decoded.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("value"), "reason")
-        sinks.append_folder(f"{folder}/rejected")(bad, batch_id)
-        inserted = spark.read.parquet(f"{folder}/orders/batch_id={batch_id}")
+        inserted = fresh.sparkSession.read.schema(fresh.schema).parquet(f"{folder}/orders/batch_id={batch_id}")
         per_product = inserted.groupBy("product_id").agg(F.count(F.lit(1)).alias("orders"))
         sinks.append_folder(f"{folder}/product_orders")(per_product, batch_id)
         per_user = inserted.groupBy("user_id").agg(F.max("created_at").alias("last_ordered_at"))
         sinks.append_folder(f"{folder}/user_orders")(per_user, batch_id)
-    finally:
-        decoded.unpersist()
-
 
-def start_ingest(raw: DataFrame, folder: str, every: str | None = None, name: str = "ingest", **options) -> StreamingQuery:
-    writer = (
-        raw.writeStream.queryName(name)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .foreachBatch(lambda batch, batch_id: ingest_batch(batch, batch_id, folder, **options))
-    )
-    return _triggered(writer, every).start()
+    return write
+
+
+def start_ingest(
+    raw: DataFrame, folder: str, every: str | None = None, name: str = "ingest", payload: T.StructType = schemas.ORDER_EVENT
+) -> list[StreamingQuery]:
+    """Two queries on the stream of messages: new orders with their counters, and rejected messages.
+
+    The first copy of an order wins.  Copies of one order share their topic partition (its key is the
+    customer), so they reach the state store in the order of arrival.
+    """
+    checked = _checked(raw, payload)
+    unique = _accepted(checked).dropDuplicates([schemas.required_key(payload)])
+    parts = {"orders": (unique, _store(folder)), "rejected": (_rejected(checked), sinks.append_folder(f"{folder}/rejected"))}
+    queries = []
+    for part, (rows, write) in parts.items():
+        writer = (
+            rows.writeStream.queryName(f"{name}_{part}")
+            .option("checkpointLocation", f"{folder}/checkpoint/{part}")
+            .foreachBatch(sinks.each_batch(write))
+        )
+        queries.append(_triggered(writer, every).start())
+    return queries
+
+
+def load_batch(
+    batch: DataFrame,
+    batch_id: int,
+    folder: str,
+    payload: T.StructType = schemas.ORDER_EVENT,
+    arrival: tuple[str, ...] = ("arrived_at",),
+) -> None:
+    """One bulk load of messages; ``arrival`` columns say which copy came first.
+
+    Depends only on the loads before it, so it can be repeated.
+    """
+    spark = batch.sparkSession
+    key = schemas.required_key(payload)
+    stored = T.StructType([f for f in payload.fields if f.name == key] + [T.StructField("batch_id", T.LongType())])
+    checked = _checked(batch, payload).persist()
+    try:
+        earlier = None
+        if batch_id > 0:
+            earlier = spark.read.schema(stored).parquet(f"{folder}/orders").where(F.col("batch_id") < batch_id)
+        _store(folder)(ingest.insert_if_absent(_accepted(checked, *arrival), [key], list(arrival), earlier), batch_id)
+        sinks.append_folder(f"{folder}/rejected")(_rejected(checked), batch_id)
+    finally:
+        checked.unpersist()
 
 
 def ingested_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,5 +113,5 @@ def user_last_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drop_recent_copies(orders: DataFrame, key: str = "order_id", late_after: str = fixed.LATE_AFTER) -> DataFrame:
-    """Drops copies that arrive within the watermark: a bounded state in front of the exact check."""
+    """Drops copies that arrive within the watermark only; its state stays bounded."""
     return orders.withWatermark("created_at", late_after).dropDuplicatesWithinWatermark([key])

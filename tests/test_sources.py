@@ -67,7 +67,7 @@ def test_pool_snapshots_replace_each_other(spark, tmp_path):
 
 
 def test_keyed_log_keeps_the_newest_row_and_compacts(spark, tmp_path, rows):
-    path, small = str(tmp_path / "log"), str(tmp_path / "small")
+    path = str(tmp_path / "log")
     write = sinks.each_batch(sinks.append_folder(path))
     frame = lambda data: spark.createDataFrame(data, "k string, n int")
     write(frame([("a", 1), ("b", 1)]), 0)
@@ -77,9 +77,13 @@ def test_keyed_log_keeps_the_newest_row_and_compacts(spark, tmp_path, rows):
     write(frame([]), 11)
     assert rows(sinks.read_keyed(spark, path, ["k"])) == [("a", 3), ("b", 1), ("c", 3)]
     assert sinks.batches(spark, path).count() == 5
-    sinks.compact_keyed(spark, path, small, ["k"])
-    assert sinks.batches(spark, small).count() == 3
-    assert rows(sinks.read_keyed(spark, small, ["k"])) == [("a", 3), ("b", 1), ("c", 3)]
+    assert sinks.compact_keyed(spark, path, ["k"]) == 10
+    assert rows(sinks.read_keyed(spark, path, ["k"])) == [("a", 3), ("b", 1), ("c", 3)]
+    assert sinks._base(spark, path)[1].count() == 3
+    write(frame([("b", 5), ("d", 5)]), 12)
+    assert rows(sinks.read_keyed(spark, path, ["k"])) == [("a", 3), ("b", 5), ("c", 3), ("d", 5)]
+    assert sinks.compact_keyed(spark, path, ["k"]) == 12
+    assert rows(sinks.read_keyed(spark, path, ["k"])) == [("a", 3), ("b", 5), ("c", 3), ("d", 5)]
 
 
 def test_overwrite_table(spark, tmp_path):

@@ -65,7 +65,7 @@ def test_late_rows_leave_windows_but_not_totals(spark, tmp_path):
     jobs.start_statistic(stream(spark, source), "category_stats", out, name="late_windows").awaitTermination()
     jobs.start_statistic(stream(spark, source), "user_totals", out, name="late_totals").awaitTermination()
     windows = jobs.read_statistic(spark, "category_stats", out)
-    assert windows.agg(F.sum("total_orders")).first()[0] == 13 - 0 and windows.where(F.col("window_start") == T0).agg(F.sum("total_orders")).first()[0] == 3
+    assert windows.agg(F.sum("total_orders")).first()[0] == 13 and windows.where(F.col("window_start") == T0).agg(F.sum("total_orders")).first()[0] == 3
     totals = jobs.read_statistic(spark, "user_totals", out)
     assert totals.agg(F.sum("total_count")).first()[0] == 14
 
@@ -111,7 +111,7 @@ def test_ingest_inserts_once_and_counts_once(spark, tmp_path, rows):
     put_messages(source, "1.json", [(i, message(i)) for i in range(6)] + [(7, message(0, total_amount=999)), (8, "broken"), (9, message(1, order_id=None))])
     put_messages(source, "2.json", [(20, message(2, total_amount=777)), (21, message(6)), (22, message(7, created_at="never"))])
     put_messages(source, "3.json", [(30, message(6, total_amount=1))])  # copies only
-    ingest.start_ingest(ingest_stream(spark, source), out, name="ingest").awaitTermination()
+    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out))
     stored = {r["order_id"]: r["total_amount"] for r in ingest.ingested_orders(spark, out).collect()}
     assert stored == {f"o{i}": 10 * i for i in range(7)}
     assert rows(ingest.product_order_counts(spark, out)) == [("p0", 2), ("p1", 2), ("p2", 2), ("p3", 1)]
@@ -123,11 +123,11 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path, rows):
     out = str(tmp_path / "out")
     first = spark.createDataFrame([(i, message(i)) for i in range(5)], "arrived_at bigint, value string")
     second = spark.createDataFrame([(9, message(1)), (10, message(8))], "arrived_at bigint, value string")
-    ingest.ingest_batch(first, 0, out)
-    ingest.ingest_batch(second, 1, out)
+    ingest.load_batch(first, 0, out)
+    ingest.load_batch(second, 1, out)
     before = rows(ingest.ingested_orders(spark, out)), rows(ingest.product_order_counts(spark, out))
-    ingest.ingest_batch(second, 1, out)
-    ingest.ingest_batch(first, 0, out)
+    ingest.load_batch(second, 1, out)
+    ingest.load_batch(first, 0, out)
     assert (rows(ingest.ingested_orders(spark, out)), rows(ingest.product_order_counts(spark, out))) == before
     assert len(before[0]) == 6
 
