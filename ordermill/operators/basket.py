@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
 from ordermill.functions import checks, money, people, times
-from ordermill.operators.joins import join_keyed
+from ordermill.operators.joins import join_each
 
 
 def category_copurchase(orders: DataFrame, min_users: int = 5, k: int = 20) -> DataFrame:
@@ -69,7 +69,7 @@ def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame,
         people.age_decade(F.col("age")).alias("_age_group"),
     )
     what = products.select("product_id", F.col("category").alias("_category"))
-    joined = join_keyed(join_keyed(orders, who, "user_id", **sizes), what, "product_id", **sizes)
+    joined = join_each(orders, {"user_id": who, "product_id": what}, **sizes)
     filled = {
         "category": _given(orders, "category", F.col("_category")),
         "user_region": _given(orders, "user_region", F.col("_region")),
@@ -83,8 +83,7 @@ def reject_orphans(orders: DataFrame, users: DataFrame, products: DataFrame, **s
     """Orders whose customer or product is missing, with the reason."""
     known_user = users.select("user_id", F.lit(True).alias("_user"))
     known_product = products.select("product_id", F.lit(True).alias("_product"))
-    checked = join_keyed(orders, known_user, "user_id", "left", **sizes)
-    checked = join_keyed(checked, known_product, "product_id", "left", **sizes)
+    checked = join_each(orders, {"user_id": known_user, "product_id": known_product}, "left", **sizes)
     no_user, no_product = F.col("_user").isNull(), F.col("_product").isNull()
     return (
         checked.where(no_user | no_product)

@@ -1,4 +1,4 @@
-"""Joins of many rows with a keyed table, safe against keys that hold a large share of the rows.
+"""Joins of many rows with keyed tables, safe against keys that hold a large share of the rows.
 
 Three cases, told apart by looking at the data:
 a small table is broadcast, after its size was checked; a large one is joined by key, as Catalyst sees
@@ -7,12 +7,18 @@ fit; and if some keys hold a large share of the rows, their rows are cut into sl
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 100_000
 PIECES = 1000
 HOT_ROWS = 1_000_000
+TRACKED = 20  # keys tracked per piece; more make the frequency sketch sharper
+
+Hot = list[tuple[object, int]]
 
 
 def is_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
@@ -20,53 +26,63 @@ def is_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
     return table.select(F.lit(1)).offset(max_rows).isEmpty()
 
 
-def hot_keys(rows: DataFrame, key: str, pieces: int = PIECES, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than one ``pieces``-th of the rows, with the number of slices each needs.
+def hot_keys(rows: DataFrame, keys: list[str], pieces: int = PIECES, min_rows: int = HOT_ROWS) -> dict[str, Hot]:
+    """Values of each key that hold more than one ``pieces``-th of the rows, and how many slices each needs.
 
-    At most ``pieces`` keys can pass and their slices add up to at most twice ``pieces``, whatever the
-    size of ``rows``.  Only the key column is read and counts are combined before the shuffle.  A missing
-    key counts as a key.
+    One pass over the key columns with a frequent-items sketch: nothing is shuffled but the sketches.
+    It cannot miss a value that frequent, and its counts, a little off, only decide how thinly rows are
+    spread.  Per key at most ``pieces`` values pass, with at most twice as many slices in all.
     """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    large = counts.where(F.col("_rows") >= min_rows)
-    total = counts.agg(F.sum("_rows")).scalar()  # reuses the shuffle of the counts
-    return large.where(F.col("_rows") * pieces > total).select(
-        key, F.ceil(F.col("_rows") * pieces / total).cast("int").alias("_slices")
-    )
+    top = [F.expr(f"approx_top_k(`{key}`, {pieces}, {pieces * TRACKED})").alias(f"_{i}") for i, key in enumerate(keys)]
+    seen = rows.select(*keys).agg(F.count(F.lit(1)).alias("_total"), *top).first()
+    threshold = max(min_rows, seen["_total"] / pieces)
+    return {
+        key: [(e["item"], math.ceil(e["count"] * pieces / seen["_total"])) for e in seen[f"_{i}"] if e["count"] > threshold]
+        for i, key in enumerate(keys)
+    }
 
 
-def join_keyed(
+def join_each(
     rows: DataFrame,
-    table: DataFrame,
-    key: str,
+    tables: dict[str, DataFrame],
     how: str = "inner",
     small_rows: int = SMALL_ROWS,
     pieces: int = PIECES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``rows`` joined with ``table``, which has one row per key.
+    """``rows`` joined with several tables, key column -> table with one row per key.
 
-    Counting keys reads the key column of ``rows`` once more; ``settle`` it first if it is costly.
+    The key columns of ``rows`` are read once more, for all large tables together; ``settle`` costly
+    rows first.
     """
-    if is_small(table, small_rows):
-        return rows.join(F.broadcast(table), key, how)
-    if how == "inner":
-        rows = rows.where(F.col(key).isNotNull())
-    hot = hot_keys(rows, key, pieces, hot_rows)
-    found = hot.collect()  # at most ``pieces`` rows, see hot_keys
-    if not found:
-        return rows.join(table, key, how)
-    return _sliced_join(rows, table, key, how, rows.sparkSession.createDataFrame(found, hot.schema), pieces)
-
-
-def _sliced_join(rows: DataFrame, table: DataFrame, key: str, how: str, hot: DataFrame, pieces: int) -> DataFrame:
+    large = [key for key, table in tables.items() if not is_small(table, small_rows)]
+    hot = hot_keys(rows, large, pieces, hot_rows) if large else {}
+    joined = rows
+    for key, table in tables.items():
+        if key not in hot:
+            joined = joined.join(F.broadcast(table), key, how)
+            continue
+        if how == "inner":
+            joined = joined.where(F.col(key).isNotNull())
+        joined = _sliced_join(joined, table, key, how, hot[key], pieces) if hot[key] else joined.join(table, key, how)
+    return joined
+
+
+def join_keyed(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", **sizes: int) -> DataFrame:
+    """``rows`` joined with one table."""
+    return join_each(rows, {key: table}, how, **sizes)
+
+
+def _sliced_join(rows: DataFrame, table: DataFrame, key: str, how: str, hot: Hot, pieces: int) -> DataFrame:
     """Rows of hot keys go to slices by a hash of the row; the one table row of such a key is copied to each.
 
     Rows without a key match nothing, so they are spread as well.
     """
+    fields = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("_slices", T.IntegerType())])
+    slices = F.broadcast(rows.sparkSession.createDataFrame(hot, fields))  # at most ``pieces`` rows
     row_hash = F.xxhash64(*[F.col(c) for c in rows.columns])
     sliced = (
-        rows.join(F.broadcast(hot), key, "left")
+        rows.join(slices, key, "left")
         .withColumn(
             "_slice",
             F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(pieces)))
@@ -76,7 +92,7 @@ def _sliced_join(rows: DataFrame, table: DataFrame, key: str, how: str, hot: Dat
         .drop("_slices")
     )
     copies = (
-        table.join(F.broadcast(hot), key, "left")
+        table.join(slices, key, "left")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
         .drop("_slices")
     )

@@ -102,12 +102,12 @@ def categorical_assign(
     per_group = choices.groupBy(group).agg(F.sort_array(F.collect_list(entry)).alias("_options"))
     fallback = per_group.where(F.col(group) == F.lit(default)).select("_options").scalar()
     options = F.col("_options")
-    u = seeded.uniform(F.col(key), seed)
+    u = F.col("_u")
     hit = F.filter(options, lambda o: (u >= o["low"]) & (u < o["high"]))
     chosen = F.coalesce(F.get(hit, F.lit(0)), F.try_element_at(options, F.lit(-1)))  # rounding of the last edge
     return (
         join_keyed(rows, per_group, group, "left")
-        .withColumn("_options", F.coalesce("_options", fallback))
+        .withColumns({"_options": F.coalesce("_options", fallback), "_u": seeded.uniform(F.col(key), seed)})
         .withColumn(option, chosen[option])
-        .drop("_options")
+        .drop("_options", "_u")
     )

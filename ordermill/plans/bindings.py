@@ -132,6 +132,11 @@ class Tables:
         kept = self.lines.drop("created_at") if "created_at" in order_columns else self.lines
         return join_keyed(kept, self.orders.select("order_id", *order_columns), "order_id")
 
+    def lines_by_category(self, *order_columns: str) -> DataFrame:
+        """Lines with columns of their order and the category of their product."""
+        category = self.products.select("product_id", "category")
+        return join_keyed(self.lines_with(*order_columns), category, "product_id")
+
     @cached_property
     def events(self) -> DataFrame:
         return order_events(self.raw("events"))

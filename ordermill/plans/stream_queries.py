@@ -93,7 +93,7 @@ PARAMETERS = {"abnormal_windows": {"limit": 100}}
 def live_events(t: Tables):
     """The events table as a stream of files."""
     stream = events.read_event_stream(
-        t.spark, t.folder, "parquet", schema=t.raw("events").schema, pathGlobFilter="events.parquet", maxFilesPerTrigger=1
+        t.spark, f"{t.folder}/events*.parquet", "parquet", schema=t.raw("events").schema, maxFilesPerTrigger=8
     )
     return order_events(stream).withColumn("created_at", F.col("created_at").cast("timestamp"))
 
@@ -141,7 +141,7 @@ for _statistic, _sql in STATISTIC_SQL.items():
 def stream_ingest(t: Tables):
     run = uuid.uuid4().hex
     folder = f"{shared_folder(t.spark)}/streams/{run}"
-    raw = events.read_event_stream(t.spark, t.folder, "parquet", schema=t.raw("events").schema, pathGlobFilter="events.parquet")
+    raw = events.read_event_stream(t.spark, f"{t.folder}/events*.parquet", "parquet", schema=t.raw("events").schema)
     jobs.await_all(ingest.start_ingest(messages(raw), folder, name=f"ingest_{run}"))
     return ingest.ingested_orders(t.spark, folder).drop("user_region")
 
