@@ -57,9 +57,13 @@ def _given(orders: DataFrame, name: str, derived):
     return F.coalesce(F.col(name), derived) if name in orders.columns else derived
 
 
-def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame, **sizes: int) -> DataFrame:
+def denormalise_orders(
+    orders: DataFrame, users: DataFrame, products: DataFrame, identity: list[str] = ["order_id"], **sizes: int
+) -> DataFrame:
     """Orders with category, region, gender and age group of their customer and product.
 
+    ``identity`` names the columns that tell orders apart, see ``joins.join_each``.
+
     Labels are made on the customer side, once per customer and not once per order.
     """
     who = users.select(
@@ -69,7 +73,7 @@ def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame,
         people.age_decade(F.col("age")).alias("_age_group"),
     )
     what = products.select("product_id", F.col("category").alias("_category"))
-    joined = join_each(orders, {"user_id": who, "product_id": what}, **sizes)
+    joined = join_each(orders, {"user_id": who, "product_id": what}, spread_by=identity, **sizes)
     filled = {
         "category": _given(orders, "category", F.col("_category")),
         "user_region": _given(orders, "user_region", F.col("_region")),
@@ -79,11 +83,13 @@ def denormalise_orders(orders: DataFrame, users: DataFrame, products: DataFrame,
     return joined.withColumns(filled).select(*orders.columns, *[c for c in filled if c not in orders.columns])
 
 
-def reject_orphans(orders: DataFrame, users: DataFrame, products: DataFrame, **sizes: int) -> DataFrame:
+def reject_orphans(
+    orders: DataFrame, users: DataFrame, products: DataFrame, identity: list[str] = ["order_id"], **sizes: int
+) -> DataFrame:
     """Orders whose customer or product is missing, with the reason."""
     known_user = users.select("user_id", F.lit(True).alias("_user"))
     known_product = products.select("product_id", F.lit(True).alias("_product"))
-    checked = join_each(orders, {"user_id": known_user, "product_id": known_product}, "left", **sizes)
+    checked = join_each(orders, {"user_id": known_user, "product_id": known_product}, "left", identity, **sizes)
     no_user, no_product = F.col("_user").isNull(), F.col("_product").isNull()
     return (
         checked.where(no_user | no_product)

@@ -46,12 +46,15 @@ def join_each(
     rows: DataFrame,
     tables: dict[str, DataFrame],
     how: str = "inner",
+    spread_by: list[str] | None = None,
     small_rows: int = SMALL_ROWS,
     pieces: int = PIECES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``rows`` joined with several tables, key column -> table with one row per key.
 
+    ``spread_by`` names columns that tell rows of one key apart (an id); rows of a hot key are sliced by
+    them.  Without it all columns are used, and then all of them have to be read.
     The key columns of ``rows`` are read once more, for all large tables together; ``settle`` costly
     rows first.
     """
@@ -64,31 +67,30 @@ def join_each(
             continue
         if how == "inner":
             joined = joined.where(F.col(key).isNotNull())
-        joined = _sliced_join(joined, table, key, how, hot[key], pieces) if hot[key] else joined.join(table, key, how)
+        joined = _sliced_join(joined, table, key, how, hot[key], pieces, spread_by or rows.columns) if hot[key] else joined.join(table, key, how)
     return joined
 
 
-def join_keyed(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", **sizes: int) -> DataFrame:
+def join_keyed(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", spread_by: list[str] | None = None, **sizes: int) -> DataFrame:
     """``rows`` joined with one table."""
-    return join_each(rows, {key: table}, how, **sizes)
+    return join_each(rows, {key: table}, how, spread_by, **sizes)
 
 
-def _sliced_join(rows: DataFrame, table: DataFrame, key: str, how: str, hot: Hot, pieces: int) -> DataFrame:
-    """Rows of hot keys go to slices by a hash of the row; the one table row of such a key is copied to each.
+def _sliced_join(
+    rows: DataFrame, table: DataFrame, key: str, how: str, hot: Hot, pieces: int, spread_by: list[str]
+) -> DataFrame:
+    """Rows of hot keys go to slices by a hash of ``spread_by``; the one table row of such a key is copied to each.
 
+    A hash of the content, unlike a random number, gives the same slice when a lost task runs again.
     Rows without a key match nothing, so they are spread as well.
     """
     fields = T.StructType([T.StructField(key, rows.schema[key].dataType), T.StructField("_slices", T.IntegerType())])
     slices = F.broadcast(rows.sparkSession.createDataFrame(hot, fields))  # at most ``pieces`` rows
-    row_hash = F.xxhash64(*[F.col(c) for c in rows.columns])
+    row_hash = F.xxhash64(*[F.col(c) for c in spread_by])
     sliced = (
         rows.join(slices, key, "left")
-        .withColumn(
-            "_slice",
-            F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(pieces)))
-            .when(F.col("_slices").isNotNull(), F.pmod(row_hash, F.col("_slices")))
-            .otherwise(F.lit(0)).cast("int"),
-        )
+        .withColumn("_slices", F.when(F.col(key).isNull(), pieces).otherwise(F.coalesce("_slices", F.lit(1))))
+        .withColumn("_slice", F.coalesce(F.pmod(row_hash, F.col("_slices")).cast("int"), F.lit(0)))
         .drop("_slices")
     )
     copies = (

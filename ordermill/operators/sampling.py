@@ -106,7 +106,7 @@ def categorical_assign(
     hit = F.filter(options, lambda o: (u >= o["low"]) & (u < o["high"]))
     chosen = F.coalesce(F.get(hit, F.lit(0)), F.try_element_at(options, F.lit(-1)))  # rounding of the last edge
     return (
-        join_keyed(rows, per_group, group, "left")
+        join_keyed(rows, per_group, group, "left", spread_by=[key])
         .withColumns({"_options": F.coalesce("_options", fallback), "_u": seeded.uniform(F.col(key), seed)})
         .withColumn(option, chosen[option])
         .drop("_options", "_u")

@@ -75,12 +75,12 @@ def top_buyers(users: DataFrame, n: int, hour: int, seed: int | None = None) ->
 
 
 def _with_weight(
-    rows: DataFrame, weights: DataFrame, scenario: int, dim: str, key: Column, default: float, name: str
+    rows: DataFrame, identity: str, weights: DataFrame, scenario: int, dim: str, key: Column, default: float, name: str
 ) -> DataFrame:
     """Adds the weight of ``key`` in one dimension of one scenario; ``weights`` is (scenario_id, dim, key, weight)."""
     chosen = weights.where((F.col("scenario_id") == scenario) & (F.col("dim") == dim))
     chosen = chosen.select(F.col("key").alias("_key"), F.col("weight").alias(name))
-    joined = join_keyed(rows.withColumn("_key", key), chosen, "_key", "left")
+    joined = join_keyed(rows.withColumn("_key", key), chosen, "_key", "left", spread_by=[identity])
     return joined.withColumn(name, F.coalesce(name, F.lit(default))).drop("_key")
 
 
@@ -89,8 +89,8 @@ def scenario_user_weight(users: DataFrame, weights: DataFrame, scenario: int, li
 
     Planned: propensity x gender weight / 50 x age weight / 20.  Live: gender weight x age weight.
     """
-    known = _with_weight(users, weights, scenario, "gender", F.coalesce("gender", F.lit("M")), 50.0, "_g")
-    known = _with_weight(known, weights, scenario, "age", people.age_band(F.col("age")), 20.0, "_a")
+    known = _with_weight(users, "user_id", weights, scenario, "gender", F.coalesce("gender", F.lit("M")), 50.0, "_g")
+    known = _with_weight(known, "user_id", weights, scenario, "age", people.age_band(F.col("age")), 20.0, "_a")
     g, a = F.col("_g"), F.col("_a")
     raw = g * a if live else F.col("propensity") * (g / 50) * (a / 20)
     return known.withColumn("weight", F.greatest(raw, F.lit(0.1))).drop("_g", "_a")
@@ -98,7 +98,7 @@ def scenario_user_weight(users: DataFrame, weights: DataFrame, scenario: int, li
 
 def _with_frequency(products: DataFrame, rules: DataFrame) -> DataFrame:
     frequency = rules.select("category", F.col("order_frequency").cast("double").alias("_f"))
-    joined = join_keyed(products, frequency, "category", "left")
+    joined = join_keyed(products, frequency, "category", "left", spread_by=["product_id"])
     return joined.withColumn("_f", F.coalesce("_f", F.lit(float(fixed.DEFAULT_FREQUENCY))))
 
 
@@ -107,9 +107,9 @@ def scenario_product_weight(
 ) -> DataFrame:
     """Weight of a product, at least 0.1: category weight x order frequency / 10, or the category weight alone (live)."""
     if live:
-        known = _with_weight(products, weights, scenario, "category", F.col("category"), 1.0, "_c")
+        known = _with_weight(products, "product_id", weights, scenario, "category", F.col("category"), 1.0, "_c")
         return known.withColumn("weight", F.greatest("_c", F.lit(0.1))).drop("_c")
-    known = _with_weight(products, weights, scenario, "category", F.col("category"), 5.0, "_c")
+    known = _with_weight(products, "product_id", weights, scenario, "category", F.col("category"), 5.0, "_c")
     raw = F.col("_c") * (F.col("_f") / 10)
     return _with_frequency(known, rules).withColumn("weight", F.greatest(raw, F.lit(0.1))).drop("_c", "_f")
 

@@ -40,6 +40,10 @@ def u32(key: str, seed: int | str = SEED) -> str:
     return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{seed}'), 1, 8) AS BIGINT)"
 
 
+# Columns that tell order lines apart; an order may repeat a line number.
+LINE_IDENTITY = ["order_id", "line", "product_id"]
+
+
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -130,12 +134,12 @@ class Tables:
     def lines_with(self, *order_columns: str) -> DataFrame:
         """Lines with columns of their order; an order with very many lines is spread."""
         kept = self.lines.drop("created_at") if "created_at" in order_columns else self.lines
-        return join_keyed(kept, self.orders.select("order_id", *order_columns), "order_id")
+        return join_keyed(kept, self.orders.select("order_id", *order_columns), "order_id", spread_by=["line", "product_id"])
 
     def lines_by_category(self, *order_columns: str) -> DataFrame:
         """Lines with columns of their order and the category of their product."""
         category = self.products.select("product_id", "category")
-        return join_keyed(self.lines_with(*order_columns), category, "product_id")
+        return join_keyed(self.lines_with(*order_columns), category, "product_id", spread_by=["order_id", "line"])
 
     @cached_property
     def events(self) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions import seeded
 from ordermill.operators import basket, customers, grades, ingest, pools
-from ordermill.plans.bindings import LINES, ORDERS, PRODUCT_CUT, PRODUCTS, USER_CUT, USERS, SEED, Tables, u32, with_views
+from ordermill.plans.bindings import LINE_IDENTITY, LINES, ORDERS, PRODUCT_CUT, PRODUCTS, USER_CUT, USERS, SEED, Tables, u32, with_views
 from ordermill.plans.registry import query
 
 AS_OF = "2001-08-01"
@@ -123,7 +123,7 @@ query(
         l.created_at, o.user_id, p.category, coalesce(split_part(u.address, ' ', 1), 'Unknown') AS user_region, u.gender AS user_gender,
         coalesce((u.age // 10 * 10) || '대', 'Unknown') AS user_age_group
         FROM lines_v l JOIN orders_v o USING (order_id) JOIN users_v u ON u.user_id = o.user_id JOIN products_v p ON p.product_id = l.product_id""",
-)(lambda t: basket.denormalise_orders(t.lines_with("user_id"), t.users, t.products))
+)(lambda t: basket.denormalise_orders(t.lines_with("user_id"), t.users, t.products, LINE_IDENTITY))
 query(
     "reject_orphans",
     """SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS product_id, o_custkey AS user_id,
@@ -134,7 +134,7 @@ query(
 )(
     lambda t: basket.reject_orphans(
         t.lines_with("user_id").select("order_id", "line", "product_id", "user_id"),
-        t.users.where("balance >= 0"), t.products.where("stock > 0"),
+        t.users.where("balance >= 0"), t.products.where("stock > 0"), LINE_IDENTITY,
     )
 )
 query(

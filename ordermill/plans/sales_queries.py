@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ordermill.operators import ingest, quality, sales
-from ordermill.plans.bindings import EVENTS, LINES, ORDERS, PRODUCTS, USERS, Tables, with_views
+from ordermill.plans.bindings import EVENTS, LINE_IDENTITY, LINES, ORDERS, PRODUCTS, USERS, Tables, with_views
 from ordermill.plans.registry import query
 from ordermill.sources import tables
 
@@ -85,7 +85,7 @@ query(
 def gender_category_top(t: Tables):
     from ordermill.operators.basket import denormalise_orders
 
-    return sales.gender_category_topk(denormalise_orders(t.lines_with("user_id", "status"), t.users, t.products))
+    return sales.gender_category_topk(denormalise_orders(t.lines_with("user_id", "status"), t.users, t.products, LINE_IDENTITY))
 
 
 REGION_SQL = f"""{with_views(ORDERS, USERS, GEO_SQL)},

@@ -205,7 +205,7 @@ def categorical_assign(t: Tables):
     choices = sampling.choice_table(
         t.spark.createDataFrame(options, "position int, class string, method string, weight int"), "class", "method", "weight", "position"
     )
-    buyers = join_keyed(t.orders.select("order_id", "user_id"), t.users.select("user_id", "age"), "user_id")
+    buyers = join_keyed(t.orders.select("order_id", "user_id"), t.users.select("user_id", "age"), "user_id", spread_by=["order_id"])
     classed = buyers.select("order_id", people.payment_class(F.col("age")).alias("class"))
     return sampling.categorical_assign(classed, "order_id", choices, "class", "method", SEED).select("order_id", "method")
 

@@ -16,7 +16,10 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("sizes", [{}, {"small_rows": 10}, {"small_rows": 10, "hot_rows": 1, "pieces": 20}])
+@pytest.mark.parametrize(
+    "sizes",
+    [{}, {"small_rows": 10}, {"small_rows": 10, "hot_rows": 1, "pieces": 20}, {"small_rows": 10, "hot_rows": 1, "pieces": 20, "spread_by": ["id"]}],
+)
 def test_all_ways_give_the_same_rows(skewed, rows, how, sizes):
     fact, table = skewed
     expected = rows(fact.join(table, "key", how).select("id", "key", "value"))
@@ -35,7 +38,7 @@ def test_hot_keys_are_few_and_sliced_by_their_share(skewed):
 def test_sliced_join_spreads_the_hot_key(spark, skewed):
     fact, table = skewed
     hot = joins.hot_keys(fact, ["key"], pieces=20, min_rows=1)["key"]
-    joined = joins._sliced_join(fact, table, "key", "inner", hot, 20)
+    joined = joins._sliced_join(fact, table, "key", "inner", hot, 20, ["id"])
     assert joined.where("key = 7").count() == fact.where("key = 7").count()
     spread = fact.where("key = 7").select(F.pmod(F.xxhash64("id", "key"), F.lit(8)).alias("s")).groupBy("s").count()
     assert spread.count() == 8 and spread.agg(F.max("count")).first()[0] < fact.where("key = 7").count() / 4
