@@ -46,6 +46,17 @@ def basket_sizes(lines: DataFrame) -> DataFrame:
     )
 
 
+def basket_size_shares(sizes: DataFrame) -> DataFrame:
+    """Actual against planned share of each basket size, in percent."""
+    total = sizes.agg(F.sum("baskets")).scalar()
+    planned = people.lookup(dict(enumerate(fixed.BASKET_SIZE_WEIGHTS, start=1)), F.col("basket_size").cast("int"), 0)
+    return sizes.select(
+        "basket_size",
+        F.round(F.col("baskets") * 100.0 / total, 1).cast("double").alias("actual_share"),
+        planned.cast("double").alias("planned_share"),
+    )
+
+
 def mean_basket_size(sizes: DataFrame) -> DataFrame:
     return sizes.agg(
         (F.sum(F.col("basket_size") * F.col("baskets")).cast("double") / F.sum("baskets")).alias("mean_basket_size")

@@ -66,12 +66,9 @@ def quarantine(decoded: DataFrame, entity: str, key: str) -> tuple[DataFrame, Da
     return good, bad
 
 
-def reject_reason(entity: Column, key: str, event_time: str = "created_at") -> Column:
-    return (
-        F.when(entity.isNull(), "undecodable")
-        .when(entity[key].isNull(), "missing key")
-        .when(entity[event_time].isNull(), "missing event time")
-    )
+def reject_reason(entity: Column, key: str, event_time: str | None = "created_at") -> Column:
+    reason = F.when(entity.isNull(), "undecodable").when(entity[key].isNull(), "missing key")
+    return reason.when(entity[event_time].isNull(), "missing event time") if event_time else reason
 
 
 def normalise_types(rows: DataFrame, as_of: Moment, text_flags: list[str] = ["marketing_agree"], moments: list[str] = ["last_login_at", "created_at"]) -> DataFrame:

@@ -34,6 +34,10 @@ def pivot_count(orders: DataFrame, row: str, column: str, values: list[str], sin
     return _since(orders, since).groupBy(row).agg(*cells).orderBy(row)
 
 
+def payment_by_age(orders: DataFrame, since: Moment | None = None) -> DataFrame:
+    return pivot_count(orders, "user_age_group", "payment_method", fixed.PAYMENT_METHODS, since)
+
+
 def share_of_count(orders: DataFrame, by: str, since: Moment | None = None) -> DataFrame:
     """Percent of the rows per value of ``by``, one decimal.
 

@@ -140,6 +140,17 @@ def residual_weights(overrides: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
+def complete_category_weights(weights: DataFrame, categories: list[str] = fixed.CATEGORIES) -> DataFrame:
+    """The long weight table with every category of every scenario: given weights stay, the rest is shared."""
+    is_category = F.col("dim") == "category"
+    given = weights.where(is_category).select("scenario_id", F.col("key").alias("category"), "weight")
+    names = weights.sparkSession.createDataFrame([(c,) for c in categories], "category string")
+    filled = residual_weights(given, names).select(
+        "scenario_id", F.lit("category").alias("dim"), F.col("category").alias("key"), "weight"
+    )
+    return weights.where(~is_category).unionByName(filled)
+
+
 def scenario_of_hour(hour: Column, default: int = 0) -> Column:
     return people.lookup(fixed.HOUR_SCENARIO, hour, default).cast("int")
 

@@ -113,6 +113,11 @@ BASKET_SQL = """WITH b AS (SELECT o_custkey, o_orderdate, count(*) AS basket_siz
 query("basket_sizes", f"{BASKET_SQL} SELECT basket_size, baskets FROM s")(
     lambda t: basket.basket_sizes(t.lines_with("user_id", "created_at"))
 )
+query(
+    "basket_size_shares",
+    f"""{BASKET_SQL} SELECT basket_size, round(CAST(baskets * 100.0 / sum(baskets) OVER () AS DOUBLE), 1) AS actual_share,
+        CAST(coalesce([25, 20, 15, 12, 10, 7, 5, 3, 2, 1][basket_size], 0) AS DOUBLE) AS planned_share FROM s""",
+)(lambda t: basket.basket_size_shares(basket.basket_sizes(t.lines_with("user_id", "created_at"))))
 query(
     "mean_basket_size",
     f"{BASKET_SQL} SELECT CAST(sum(basket_size * baskets) AS DOUBLE) / sum(baskets) AS mean_basket_size FROM s",

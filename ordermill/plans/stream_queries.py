@@ -143,7 +143,7 @@ def stream_ingest(t: Tables):
     folder = f"{shared_folder(t.spark)}/streams/{run}"
     raw = events.read_event_stream(t.spark, f"{t.folder}/events*.parquet", "parquet", schema=t.raw("events").schema)
     jobs.await_all(ingest.start_ingest(messages(raw), folder, name=f"ingest_{run}"))
-    return ingest.ingested_orders(t.spark, folder).drop("user_region")
+    return ingest.ingested(t.spark, folder).drop("user_region")
 
 
 @query(

@@ -78,13 +78,17 @@ def scenario_weights(documents: DataFrame, value: str = "value") -> DataFrame:
     return scenarios.select("scenario_id", F.inline(F.concat(*[tagged(dim, pairs) for dim, pairs in entries])))
 
 
-def scenario_settings(documents: DataFrame, value: str = "value") -> DataFrame:
-    """One row per scenario: weights as one map ("dim:key" -> weight) and the order volume."""
+def scenario_settings(documents: DataFrame, value: str = "value", weights: DataFrame | None = None) -> DataFrame:
+    """One row per scenario: weights as one map ("dim:key" -> weight) and the order volume.
+
+    ``weights`` replaces the table read from the documents, for instance by the completed one.
+    """
+    long = scenario_weights(documents, value) if weights is None else weights
     volume = _parsed_scenarios(documents, value).select(
         "scenario_id", F.col("s.order_volume.min").alias("volume_min"), F.col("s.order_volume.max").alias("volume_max")
     )
     named = F.struct(F.concat_ws(":", "dim", "key").alias("key"), F.col("weight").alias("value"))
-    weights = scenario_weights(documents, value).groupBy("scenario_id").agg(
+    maps = long.groupBy("scenario_id").agg(
         F.map_from_entries(F.sort_array(F.collect_list(named))).alias("weights")
     )
-    return weights.join(volume, "scenario_id")
+    return maps.join(volume, "scenario_id")

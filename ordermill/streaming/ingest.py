@@ -1,10 +1,10 @@
-"""Ingestion of order events: decode, set aside, insert once, move counters once.
+"""Ingestion of order, customer and product events: decode, set aside, insert once, move counters once.
 
 Everything a batch changes goes to folders named by its batch id, in overwrite mode.  A repeated batch
 writes the same rows again, and counters, which are sums over the inserted rows, cannot move twice.
 
-Which orders are known already is answered in two ways.  A stream keeps the ids in its state store (on
-disk with the provider of ``session.build_session``), so a batch costs one lookup per arriving order, no
+Which rows are known already is answered in two ways.  A stream keeps the ids in its state store (on
+disk with the provider of ``session.build_session``), so a batch costs one lookup per arriving row, no
 matter how many are stored.  A bulk load compares with the stored ids by one join.
 """
 
@@ -22,23 +22,34 @@ from ordermill.sources import envelopes, sinks
 from ordermill.streaming.jobs import _triggered
 
 
-def _checked(raw: DataFrame, payload: T.StructType) -> DataFrame:
-    reason = ingest.reject_reason(F.col("order"), schemas.required_key(payload))
-    return envelopes.decode(raw, "order", payload).withColumn("reason", reason)
+# entity -> (payload, column that must not be missing); what the topic of the entity carries
+PAYLOADS = {
+    "order": (schemas.ORDER_EVENT, "created_at"),
+    "user": (schemas.USERS, None),
+    "product": (schemas.PRODUCTS, None),
+}
 
 
-def _accepted(checked: DataFrame, *keep: str) -> DataFrame:
-    return checked.where(F.col("reason").isNull()).select("order.*", *keep)
+def _checked(raw: DataFrame, entity: str) -> DataFrame:
+    payload, event_time = PAYLOADS[entity]
+    reason = ingest.reject_reason(F.col(entity), schemas.required_key(payload), event_time)
+    return envelopes.decode(raw, entity, payload).withColumn("reason", reason)
+
+
+def _accepted(checked: DataFrame, entity: str, *keep: str) -> DataFrame:
+    return checked.where(F.col("reason").isNull()).select(f"{entity}.*", *keep)
 
 
 def _rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.col("reason").isNotNull()).select(F.col("value").cast("string").alias("value"), "reason")
 
 
-def _store(folder: str) -> sinks.BatchWriter:
-    """Writes new orders, then what they add to the counters, read back from what was written."""
+def _store(folder: str, entity: str) -> sinks.BatchWriter:
+    """Writes new rows; orders then also what they add to the counters, read back from what was written."""
     def write(fresh: DataFrame, batch_id: int) -> None:
-        sinks.append_folder(f"{folder}/orders")(fresh, batch_id)
+        sinks.append_folder(f"{folder}/{fixed.TOPICS[entity]}")(fresh, batch_id)
+        if entity != "order":
+            return
         inserted = fresh.sparkSession.read.schema(fresh.schema).parquet(f"{folder}/orders/batch_id={batch_id}")
         per_product = inserted.groupBy("product_id").agg(F.count(F.lit(1)).alias("orders"))
         sinks.append_folder(f"{folder}/product_orders")(per_product, batch_id)
@@ -49,16 +60,19 @@ def _store(folder: str) -> sinks.BatchWriter:
 
 
 def start_ingest(
-    raw: DataFrame, folder: str, every: str | None = None, name: str = "ingest", payload: T.StructType = schemas.ORDER_EVENT
+    raw: DataFrame, folder: str, every: str | None = None, name: str = "ingest", entity: str = "order"
 ) -> list[StreamingQuery]:
-    """Two queries on the stream of messages: new orders with their counters, and rejected messages.
+    """Two queries on the stream of messages: new rows (orders with their counters) and rejected messages.
 
-    The first copy of an order wins.  Copies of one order share their topic partition (its key is the
+    The first copy of a row wins.  Copies of one row share their topic partition (an order's key is its
     customer), so they reach the state store in the order of arrival.
     """
-    checked = _checked(raw, payload)
-    unique = _accepted(checked).dropDuplicates([schemas.required_key(payload)])
-    parts = {"orders": (unique, _store(folder)), "rejected": (_rejected(checked), sinks.append_folder(f"{folder}/rejected"))}
+    checked = _checked(raw, entity)
+    unique = _accepted(checked, entity).dropDuplicates([schemas.required_key(PAYLOADS[entity][0])])
+    parts = {
+        fixed.TOPICS[entity]: (unique, _store(folder, entity)),
+        "rejected": (_rejected(checked), sinks.append_folder(f"{folder}/rejected")),
+    }
     queries = []
     for part, (rows, write) in parts.items():
         writer = (
@@ -74,7 +88,7 @@ def load_batch(
     batch: DataFrame,
     batch_id: int,
     folder: str,
-    payload: T.StructType = schemas.ORDER_EVENT,
+    entity: str = "order",
     arrival: tuple[str, ...] = ("arrived_at",),
 ) -> None:
     """One bulk load of messages; ``arrival`` columns say which copy came first.
@@ -82,21 +96,22 @@ def load_batch(
     Depends only on the loads before it, so it can be repeated.
     """
     spark = batch.sparkSession
-    key = schemas.required_key(payload)
-    stored = T.StructType([f for f in payload.fields if f.name == key] + [T.StructField("batch_id", T.LongType())])
-    checked = _checked(batch, payload).persist()
+    key = schemas.required_key(PAYLOADS[entity][0])
+    stored = T.StructType([T.StructField(key, T.StringType()), T.StructField("batch_id", T.LongType())])
+    checked = _checked(batch, entity).persist()
     try:
         earlier = None
         if batch_id > 0:
-            earlier = spark.read.schema(stored).parquet(f"{folder}/orders").where(F.col("batch_id") < batch_id)
-        _store(folder)(ingest.insert_if_absent(_accepted(checked, *arrival), [key], list(arrival), earlier), batch_id)
+            earlier = spark.read.schema(stored).parquet(f"{folder}/{fixed.TOPICS[entity]}").where(F.col("batch_id") < batch_id)
+        fresh = ingest.insert_if_absent(_accepted(checked, entity, *arrival), [key], list(arrival), earlier)
+        _store(folder, entity)(fresh, batch_id)
         sinks.append_folder(f"{folder}/rejected")(_rejected(checked), batch_id)
     finally:
         checked.unpersist()
 
 
-def ingested_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return sinks.batches(spark, f"{folder}/orders").drop("batch_id")
+def ingested(spark: SparkSession, folder: str, entity: str = "order") -> DataFrame:
+    return sinks.batches(spark, f"{folder}/{fixed.TOPICS[entity]}").drop("batch_id")
 
 
 def rejected_messages(spark: SparkSession, folder: str) -> DataFrame:

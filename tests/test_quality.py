@@ -62,3 +62,8 @@ def test_shares_and_regions(spark, rows):
     users = spark.createDataFrame([("u1", "서울"), ("u2", "달")], "user_id string, address_district string")
     assert rows(sales.region_orders(placed, users)) == [("달", 1, None, None), ("서울", 2, 37.5665, 126.978)]
     assert rows(sales.region_revenue(placed, users)) == [("달", 7, None, None), ("서울", 11, 37.5665, 126.978)]
+
+
+def test_payment_by_age(spark, rows):
+    df = spark.createDataFrame([("20대", "Card"), ("20대", "Bank"), ("20대", "Card"), ("30대", "Cash")], "user_age_group string, payment_method string")
+    assert rows(sales.payment_by_age(df)) == [("20대", 2, 0, 0, 1), ("30대", 0, 0, 0, 0)]

@@ -104,3 +104,13 @@ def test_rules_defaults(spark, tmp_path):
     assert got["b"]["order_frequency"] == 10 and got["b"]["quantity_weights"] == [80, 10, 5, 3, 2]
     choices = rules.quantity_choices(rules.load_rules_dim(spark, str(path)))
     assert choices.count() == 7
+
+
+def test_scenarios_are_completed_to_all_categories(spark):
+    full = scoring.complete_category_weights(rules.scenario_weights(document(spark)))
+    got = {(r["scenario_id"], r["key"]): r["weight"] for r in full.where("dim = 'category'").collect()}
+    assert len(got) == 3 * len(fixed.CATEGORIES)
+    assert got[17, "육류/가공"] == 25 and got[17, "골프"] == 1.8  # (100 - 73) / 15
+    assert got[0, "영양제"] == 6
+    settings = {r["scenario_id"]: r["weights"] for r in rules.scenario_settings(document(spark), weights=full).collect()}
+    assert settings[17]["category:골프"] == 1.8 and settings[17]["gender:M"] == 35

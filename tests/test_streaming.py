@@ -112,7 +112,7 @@ def test_ingest_inserts_once_and_counts_once(spark, tmp_path, rows):
     put_messages(source, "2.json", [(20, message(2, total_amount=777)), (21, message(6)), (22, message(7, created_at="never"))])
     put_messages(source, "3.json", [(30, message(6, total_amount=1))])  # copies only
     jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out))
-    stored = {r["order_id"]: r["total_amount"] for r in ingest.ingested_orders(spark, out).collect()}
+    stored = {r["order_id"]: r["total_amount"] for r in ingest.ingested(spark, out).collect()}
     assert stored == {f"o{i}": 10 * i for i in range(7)}
     assert rows(ingest.product_order_counts(spark, out)) == [("p0", 2), ("p1", 2), ("p2", 2), ("p3", 1)]
     assert rows(ingest.user_last_orders(spark, out)) == [("u0", T0 + timedelta(minutes=6)), ("u1", T0 + timedelta(minutes=4)), ("u2", T0 + timedelta(minutes=5))]
@@ -125,10 +125,10 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path, rows):
     second = spark.createDataFrame([(9, message(1)), (10, message(8))], "arrived_at bigint, value string")
     ingest.load_batch(first, 0, out)
     ingest.load_batch(second, 1, out)
-    before = rows(ingest.ingested_orders(spark, out)), rows(ingest.product_order_counts(spark, out))
+    before = rows(ingest.ingested(spark, out)), rows(ingest.product_order_counts(spark, out))
     ingest.load_batch(second, 1, out)
     ingest.load_batch(first, 0, out)
-    assert (rows(ingest.ingested_orders(spark, out)), rows(ingest.product_order_counts(spark, out))) == before
+    assert (rows(ingest.ingested(spark, out)), rows(ingest.product_order_counts(spark, out))) == before
     assert len(before[0]) == 6
 
 
@@ -150,3 +150,20 @@ def test_refresh_runs_at_a_pace(spark, tmp_path):
         time.sleep(0.2)
     query.stop()
     assert len(seen) >= 2 and seen == sorted(seen)
+
+
+def test_customers_and_products_are_inserted_once(spark, tmp_path):
+    source = tmp_path / "in"
+    user = {"user_id": "u1", "name": "Kim", "gender": "F", "age": 30, "marketing_agree": "true", "created_at": None, "random_seed": 0.5}
+    texts = [json.dumps({"event_type": "user_created", "timestamp": "x", "user": user | c}) for c in ({}, {"name": "other"}, {"user_id": "u2", "created_at": "2025-01-05"}, {"user_id": None})]
+    put_messages(source, "1.json", list(enumerate(texts)))
+    out = str(tmp_path / "users")
+    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out, name="users", entity="user"))
+    got = {r["user_id"]: (r["name"], r["created_at"]) for r in ingest.ingested(spark, out, "user").collect()}
+    assert got == {"u1": ("Kim", None), "u2": ("Kim", datetime(2025, 1, 5))}
+    assert [r["reason"] for r in ingest.rejected_messages(spark, out).collect()] == ["missing key"]
+    product = json.dumps({"event_type": "product_created", "timestamp": "x", "product": {"product_id": "p1", "price": 100, "is_best": "Y"}})
+    loads = spark.createDataFrame([(0, product), (1, product)], "arrived_at bigint, value string")
+    for batch_id in (0, 1):
+        ingest.load_batch(loads, batch_id, str(tmp_path / "products"), "product")
+    assert ingest.ingested(spark, str(tmp_path / "products"), "product").count() == 1
