@@ -58,6 +58,8 @@ def join_each(
     The key columns of ``rows`` are read once more, for all large tables together; ``settle`` costly
     rows first.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"rows keep their side in an inner or left join, not in a {how} join")
     large = [key for key, table in tables.items() if not is_small(table, small_rows)]
     hot = hot_keys(rows, large, pieces, hot_rows) if large else {}
     joined = rows

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
 from ordermill.functions.times import Moment, moment
+from ordermill.session import settle
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -124,6 +125,7 @@ def compact_keyed(spark: SparkSession, path: str, key: list[str]) -> int:
 
 def write_pool_snapshot(pool: DataFrame, path: str, as_of: Moment) -> None:
     """A new version of the pool with its size and time; readers see it once it is complete."""
+    pool = settle(pool)  # selected once, counted and written from there
     size = pool.agg(F.count(F.lit(1))).scalar()
     stamped = pool.withColumns({"count": size, "updated_at": F.lit(moment(as_of).isoformat())})
     stamped.write.mode("overwrite").parquet(f"{path}/version={moment(as_of):%Y%m%d%H%M%S}")
