@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
@@ -71,14 +72,10 @@ def run_calendar(start: Moment, end: Moment, every_days: int = fixed.GRADE_RUN_I
 
 def _reach(spark, runs: list[date], lookback_days: int) -> DataFrame:
     """Per calendar day, the first and last run whose window holds it.  Bounded by the calendar."""
-    rows = []
-    day = runs[0] - timedelta(days=lookback_days)
-    while day <= runs[-1]:
-        first = next(i for i, run in enumerate(runs) if run >= day)
-        last = max(i for i, run in enumerate(runs) if run - timedelta(days=lookback_days) <= day)
-        if first <= last:
-            rows.append((day, first, last))
-        day += timedelta(days=1)
+    lookback = timedelta(days=lookback_days)
+    days = [runs[0] - lookback + timedelta(days=n) for n in range((runs[-1] - runs[0]).days + lookback_days + 1)]
+    spans = [(day, bisect_left(runs, day), bisect_right(runs, day + lookback) - 1) for day in days]
+    rows = [span for span in spans if span[1] <= span[2]]
     return spark.createDataFrame(rows, "day date, first_run int, last_run int")
 
 

@@ -2,9 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ordermill.functions import seeded
 from ordermill.operators import basket, customers, grades, ingest, pools
-from ordermill.plans.bindings import LINE_IDENTITY, LINES, ORDERS, PRODUCT_CUT, PRODUCTS, USER_CUT, USERS, SEED, Tables, u32, with_views
+from ordermill.plans.bindings import LINE_IDENTITY, LINES, ORDERS, PRODUCTS, USERS, Tables, u32, with_views
 from ordermill.plans.registry import query
 
 AS_OF = "2001-08-01"

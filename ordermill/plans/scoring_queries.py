@@ -8,7 +8,7 @@ from ordermill import fixed_values as fixed
 from ordermill.functions import people, times
 from ordermill.operators import planning, sampling, scoring
 from ordermill.operators.joins import join_keyed
-from ordermill.plans.bindings import EVENTS, ORDERS, PRODUCTS, SEED, USERS, Tables, u32, with_views
+from ordermill.plans.bindings import ORDERS, PRODUCTS, SEED, USERS, Tables, u32, with_views
 from ordermill.plans.registry import query
 from ordermill.sources import rules
 

@@ -1,7 +1,6 @@
 from datetime import datetime
 
 from ordermill.operators import basket
-from pyspark.sql import functions as F
 
 T0 = datetime(2025, 5, 1, 10)
 
