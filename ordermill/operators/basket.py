@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
@@ -69,19 +69,27 @@ def _given(orders: DataFrame, name: str, derived):
 
 
 def denormalise_orders(
-    orders: DataFrame, users: DataFrame, products: DataFrame, identity: list[str] = ["order_id"], **sizes: int
+    orders: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    identity: list[str] = ["order_id"],
+    region: Column | None = None,
+    age_group: Column | None = None,
+    **sizes: int,
 ) -> DataFrame:
     """Orders with category, region, gender and age group of their customer and product.
 
-    ``identity`` names the columns that tell orders apart, see ``joins.join_each``.
+    ``identity`` names the columns that tell orders apart, see ``joins.join_each``.  ``region`` and
+    ``age_group`` are expressions on the customer; by default the first word of the address and the
+    decade of the age, and for instance ``address_district`` and ``people.age_band`` instead.
 
     Labels are made on the customer side, once per customer and not once per order.
     """
     who = users.select(
         "user_id",
-        people.first_region(F.col("address")).alias("_region"),
+        (people.first_region(F.col("address")) if region is None else region).alias("_region"),
         F.col("gender").alias("_gender"),
-        people.age_decade(F.col("age")).alias("_age_group"),
+        (people.age_decade(F.col("age")) if age_group is None else age_group).alias("_age_group"),
     )
     what = products.select("product_id", F.col("category").alias("_category"))
     joined = join_each(orders, {"user_id": who, "product_id": what}, spread_by=identity, **sizes)

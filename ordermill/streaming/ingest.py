@@ -65,7 +65,8 @@ def start_ingest(
     """Two queries on the stream of messages: new rows (orders with their counters) and rejected messages.
 
     The first copy of a row wins.  Copies of one row share their topic partition (an order's key is its
-    customer), so they reach the state store in the order of arrival.
+    customer), so they reach the state store in the order of arrival.  They pass one task one by one,
+    so the size of a batch (maxOffsetsPerTrigger, maxFilesPerTrigger) bounds what very many copies cost.
     """
     checked = _checked(raw, entity)
     unique = _accepted(checked, entity).dropDuplicates([schemas.required_key(PAYLOADS[entity][0])])

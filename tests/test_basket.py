@@ -1,5 +1,8 @@
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
+from ordermill.functions import people
 from ordermill.operators import basket
 
 T0 = datetime(2025, 5, 1, 10)
@@ -32,6 +35,14 @@ def test_denormalise_fills_gaps_only(spark):
     assert rejected == {6: "user not found", 7: "product not found"}
 
 
+def test_denormalise_with_other_labels(spark):
+    users = spark.createDataFrame([("u1", "서울시 강남구", "서울", "F", 64)], "user_id string, address string, address_district string, gender string, age int")
+    products = spark.createDataFrame([("p1", "캠핑")], "product_id string, category string")
+    orders = spark.createDataFrame([(1, "u1", "p1")], "order_id int, user_id string, product_id string")
+    out = basket.denormalise_orders(orders, users, products, region=F.col("address_district"), age_group=people.age_band(F.col("age"))).first()
+    assert (out["user_region"], out["user_age_group"], out["category"]) == ("서울", "50대이상", "캠핑")
+
+
 def test_abnormal_detail_keeps_orders_of_unknown_buyers(spark):
     orders = spark.createDataFrame(
         [(1, "u", -1, T0), (2, "u", 0, T0), (3, "u", 9_999_999, T0), (4, "gone", 10_000_000, T0)],
