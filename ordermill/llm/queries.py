@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import lengths, token_files
+from ordermill.llm import lengths, mixing, sharding, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,15 +17,25 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op7_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return lengths.length_histogram(table(spark, folder, "documents"), WORD_BPE, ["source", "lang"])
 
 
+def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_rows(table(spark, folder, "documents"), 40)
+    return placed.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op9_pfor_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_rows(table(spark, folder, "documents"), WORD_BPE).drop("file")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_length_histogram, op9_pfor_files)
+    f.__name__: f for f in (op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files)
 }
 ORACLES: dict[str, str] = {}
