@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import lengths, mixing, sharding, token_files
+from ordermill.llm import decontaminate, fingerprints, lengths, mixing, sharding, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 def op6_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "rate", "copies")
@@ -35,7 +39,25 @@ def op9_pfor_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_rows(table(spark, folder, "documents"), WORD_BPE).drop("file")
 
 
+def op10_minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files)
+    f.__name__: f for f in (
+        op2_multiset_hash, op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files, op10_minhash_containment,
+    )
+}
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+_SHINGLES = """SELECT DISTINCT {id}, array_to_string(w[i:i+4], ' ') AS shingle
+  FROM (SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {id}, {words} AS w FROM {table}))"""
+
+ORACLES: dict[str, str] = {
+    "op10_minhash_containment": f"""
+WITH d AS ({_SHINGLES.format(id="doc_id", table="documents", words=_WORDS)}),
+b AS ({_SHINGLES.format(id="item_id", table="benchmark", words=_WORDS)}),
+n AS (SELECT item_id, count(*) AS item_shingles FROM b GROUP BY item_id),
+s AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles::DOUBLE AS containment
+FROM s JOIN n USING (item_id) WHERE shared >= 0.8 * item_shingles""",
 }
-ORACLES: dict[str, str] = {}
