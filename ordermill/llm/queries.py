@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, fingerprints, lengths, mixing, sharding, token_files
+from ordermill.llm import decontaminate, fingerprints, language, lengths, mixing, near_duplicates, sharding, token_files
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,10 +17,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ppm_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3)) == 1
+    model = language.fit(docs.where(~held_out))
+    named = language.predict(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op2_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("node")
+
+
 def op6_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "rate", "copies")
@@ -45,7 +57,7 @@ def op10_minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_multiset_hash, op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files, op10_minhash_containment,
+        op1_ppm_language, op2_multiset_hash, op3_jaccard_join, op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files, op10_minhash_containment,
     )
 }
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
