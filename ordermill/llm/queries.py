@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import decontaminate, fingerprints, language, lengths, mixing, near_duplicates, sharding, token_files
+from ordermill.llm import decontaminate, fingerprints, language, lengths, line_dedup, maxent, mixing, near_duplicates, sharding, token_files
+from ordermill.llm.shipping import ship_package
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -33,6 +35,18 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents")).drop("node")
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.repeated_lines(table(spark, folder, "documents"))
+    return found.withColumn("removed_lines", F.size("removed"))
+
+
+def op5_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(10)) == 0
+    scored = maxent.score(docs, maxent.fit(docs.where(~held_out)))
+    return scored.withColumn("held_out", held_out)
+
+
 def op6_entropy_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "rate", "copies")
@@ -57,7 +71,8 @@ def op10_minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_ppm_language, op2_multiset_hash, op3_jaccard_join, op6_entropy_mix, op7_length_histogram, op8_hilbert_shards, op9_pfor_files, op10_minhash_containment,
+        op1_ppm_language, op2_multiset_hash, op3_jaccard_join, op4_line_dedup, op5_maxent_scores, op6_entropy_mix,
+        op7_length_histogram, op8_hilbert_shards, op9_pfor_files, op10_minhash_containment,
     )
 }
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
