@@ -7,13 +7,12 @@ lower case.  Null texts have no bytes.  Hashes are 64-bit polynomials over rando
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 WORDS_PER_SHINGLE = 5
-SLICE_BYTES = 1 << 21  # texts are worked on in groups of about so many bytes; a longer text is a group of its own
+SLICE_BYTES = 1 << 20  # texts are worked on in groups of about so many bytes; a longer text is a group of its own
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -33,11 +32,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _BASE), np.full(n, _INVERSE)
-    up[:1] = down[:1] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_KEPT_POWERS = 1 << 21
+_kept: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse; a bounded number is kept for further calls."""
+    def made(base: np.uint64, size: int) -> np.ndarray:
+        values = np.full(size, base)
+        values[:1] = 1
+        return np.multiply.accumulate(values)
+
+    if n > _KEPT_POWERS:
+        return made(_BASE, n), made(_INVERSE, n)
+    if not _kept:
+        _kept.extend((made(_BASE, _KEPT_POWERS), made(_INVERSE, _KEPT_POWERS)))
+    return _kept[0][:n], _kept[1][:n]
 
 
 def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,10 +87,9 @@ def words(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word, case of A-Z ignored."""
-    size = 1 << max(22, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(_BYTE[data] * up, out=sums[1:])
     return mix((sums[ends] - sums[begins]) * down[begins])
 
 

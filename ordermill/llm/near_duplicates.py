@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.columns import _powers, as_list, hashed_words, mix, shingles, slices
+from ordermill.llm.columns import as_list, hashed_words, mix, powers, shingles, slices
 from ordermill.llm.components import connected_components
 from ordermill.llm.storage import settle_table
 
@@ -69,10 +69,12 @@ def may_be_similar(one: np.ndarray, other: np.ndarray, least: list[int]) -> np.n
 
 def text_nodes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One number for each sequence of words; 0 for none."""
-    up, down = _powers(1 << max(22, int(len(hashes)).bit_length()))
+    up, down = powers(len(hashes))
     ends = np.cumsum(counts)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
-    first = np.minimum(ends - counts, max(len(hashes) - 1, 0))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
+    if not len(hashes):
+        return np.zeros(len(counts), np.int64)
+    first = np.minimum(ends - counts, len(hashes) - 1)
     value = mix((sums[ends] - sums[ends - counts]) * down[first] + counts.astype(np.uint64))
     return np.where(counts > 0, value, _U(0)).view(np.int64)
 

@@ -11,8 +11,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to Python workers that do not have it on their path, once per Spark application."""
+    """Send this package to Python workers that do not have it on their path, once per Spark application.
+
+    Where the session leaves Arrow batches at Spark's number of rows, they are made smaller: rows hold whole texts.
+    """
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     context = spark.sparkContext
     if getattr(context, "_ordermill_shipped", False):
         return
