@@ -2,38 +2,68 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 400_000  # words remembered by a worker; the memory starts anew beyond that
+from ordermill.llm.columns import slices
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
+
+KEPT_WORDS = 150_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
+LONGEST_KEPT = 64  # bytes of a remembered word
+_MARK = "\x01"
 
 
 class WordIds(dict):
     """Word -> its ids as little-endian 32-bit numbers, encoded when first seen.
 
     For tokenizers whose pre-tokenizer drops white space, so that no token spans two words: there, the ids of a text
-    are those of its words, one after the other.
+    are those of its words, one after the other.  New words are encoded together, told apart by a mark that is a
+    token of its own; words that hold the mark are encoded alone.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= KEPT_WORDS:
+        return np.asarray(self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        known = words & self.older.keys()
+        self.update((w, self.older[w]) for w in known)
+        mark = _MARK.encode()
+        new = [w for w in words - known if len(w) <= LONGEST_KEPT and mark not in w]
+        if self.mark is None or not new:
+            return
+        joined = f" {_MARK} ".join(w.decode("utf-8") for w in new)
+        ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        edges = [-4, *(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
+        ids = ids.tobytes()
+        for word, low, high in zip(new, edges[:-1], edges[1:], strict=True):
+            self[word] = ids[low + 4 : high]
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        split = [text.split() for text in texts]
+        unknown: set[bytes] = set()
+        for words in split:
+            unknown.update(filterfalse(self.__contains__, words))
+        self.learn(unknown)
+        found = [b"".join(map(self.__getitem__, words)) for words in split]
+        if len(self) > KEPT_WORDS:
+            self.older = dict(self)
             self.clear()
-        found = np.asarray(self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = found
         return found
 
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
-
 
 @lru_cache(1)
 def word_ids(path: str) -> WordIds:
@@ -41,8 +71,8 @@ def word_ids(path: str) -> WordIds:
 
 
 def encoded(batches: Iterator[pa.RecordBatch], column: str, path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Each batch with the ids of its texts; a null text has none."""
+    """Runs of rows with the ids of their texts; a null text has none."""
     ids = word_ids(path)
     for batch in batches:
-        texts = batch.column(column).fill_null("").cast(pa.large_binary())
-        yield batch, [ids.of(text.as_py()) for text in texts]
+        for some in slices(batch, column):
+            yield some, ids.of(some.column(column).fill_null("").cast(pa.large_binary()).to_pylist())
