@@ -34,7 +34,7 @@ class Table:
     """Open-addressed table of numbers below 2**62; ``find`` gives slots, or -1."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.full(1 << bits, -1, np.int64)
         self.slot_of = np.empty(len(keys), np.int64)
