@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import filterfalse
+from string import ascii_lowercase
 
-import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
@@ -15,54 +16,65 @@ from ordermill.llm.columns import slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
 
-KEPT_WORDS = 150_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
+KEPT_WORDS = 300_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
 LONGEST_KEPT = 64  # bytes of a remembered word
-_MARK = "\x01"
+_TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)  # signs after a letter or digit, no apostrophe
+_TAILS = (".", "?!", "$$$", "*_")
 
 
 class WordIds(dict):
     """Word -> its ids as little-endian 32-bit numbers, encoded when first seen.
 
     For tokenizers whose pre-tokenizer drops white space, so that no token spans two words: there, the ids of a text
-    are those of its words, one after the other.  New words are encoded together, told apart by a mark that is a
-    token of its own; words that hold the mark are encoded alone.
+    are those of its words, one after the other.  Two short cuts save work at a word's first sight, each used only if
+    the tokenizer passes a trial of it: signs that end a word are a piece of their own, and a word of lower-case
+    letters is one piece, which the tokenizer's model takes without normalisation.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.model = self.tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.added = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()) or b"(?!)")
+        self.letters = {c: p[0] for c in map(chr, range(97, 0x250)) if c.isalpha() and c == c.lower() and len(p := self._pieces(c)) == 1}
+        if self._pieces("".join(self.letters)) != ["".join(self.letters.values())]:
+            self.letters = {}
+        self.plain = all(self.letters.get(c) == c for c in ascii_lowercase)
+        self.parted = all(self._pieces(f"ab{t}") == self._pieces("ab") + self._pieces(t) for t in _TAILS) and self._pieces("AB") == self._pieces("ab")
+
+    def _pieces(self, text: str) -> list[str]:
+        """What the tokenizer's model is given of ``text``."""
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        text = normal.normalize_str(text) if normal else text
+        return [piece for piece, _ in cut.pre_tokenize_str(text)] if cut else [text]
 
     def __missing__(self, word: bytes) -> bytes:
-        return np.asarray(self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[bytes]) -> None:
-        known = words & self.older.keys()
-        self.update((w, self.older[w]) for w in known)
-        mark = _MARK.encode()
-        new = [w for w in words - known if len(w) <= LONGEST_KEPT and mark not in w]
-        if self.mark is None or not new:
-            return
-        joined = f" {_MARK} ".join(w.decode("utf-8") for w in new)
-        ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        edges = [-4, *(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)]
-        ids = ids.tobytes()
-        for word, low, high in zip(new, edges[:-1], edges[1:], strict=True):
-            self[word] = ids[low + 4 : high]
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._encode(word)
+        if len(word) <= LONGEST_KEPT:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _encode(self, word: bytes) -> bytes:
+        if self.plain and word.isalpha() and word.islower():  # of ASCII alone
+            return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+        if self.parted and len(word) <= LONGEST_KEPT and not self.added.search(low := word.lower()):
+            if low != word:
+                return self[low]
+            if tail := _TAIL.fullmatch(word):
+                return self[tail[1]] + self[tail[2]]
+        text = word.decode()
+        if self.letters.keys() >= set(text):
+            return array("I", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, text)))]).tobytes()
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def of(self, texts: list[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        unknown: set[bytes] = set()
-        for words in split:
-            unknown.update(filterfalse(self.__contains__, words))
-        self.learn(unknown)
-        found = [b"".join(map(self.__getitem__, words)) for words in split]
-        if len(self) > KEPT_WORDS:
-            self.older = dict(self)
-            self.clear()
-        return found
+        return [b"".join(map(self.__getitem__, text.split())) for text in texts]
 
 
 @lru_cache(1)

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 from llm_tables import no_docs, some_docs
 from ordermill.llm import token_files as T
 from ordermill.llm.queries import WORD_BPE
+from ordermill.llm.tokens import word_ids
 
 
 @settings(max_examples=60, deadline=None)
@@ -50,3 +51,13 @@ def test_words_longer_than_a_memory_entry(spark, tmp_path):
     docs = spark.createDataFrame([(1, "ab" * 5000 + " c"), (2, None)], "doc_id long, text string")
     rows = T.token_rows(docs, WORD_BPE).orderBy("doc_id").collect()
     assert rows[0].n_tokens == len(Tokenizer.from_file(WORD_BPE).encode("ab" * 5000 + " c").ids) + 1 and rows[1].n_tokens == 1
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAbzéÉßİıª0'’.,$*_<|>\x01 \n\t́ Σς中-"), max_size=14) | st.sampled_from(
+    ["<|endoftext|>", "<|ENDOFTEXT|>x", "it's.", "IT'LL!", "a.'s", "Straße...", "x" * 80 + "."]), max_size=4))
+def test_words_alone_are_encoded_as_in_the_text(parts):
+    words = word_ids(WORD_BPE)
+    for text in (" ".join(parts), "".join(parts)):
+        expected = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert words.of([text.encode()]) == [expected]
