@@ -72,11 +72,14 @@ def reject_reason(entity: Column, key: str, event_time: str | None = "created_at
 
 
 def normalise_types(rows: DataFrame, as_of: Moment, text_flags: list[str] = ["marketing_agree"], moments: list[str] = ["last_login_at", "created_at"]) -> DataFrame:
-    """Flags as lower-case text, ISO text as timestamps, a missing created_at set to ``as_of``."""
+    """Flags as lower-case text, ISO text as timestamps, a missing created_at set to ``as_of``.
+
+    A malformed time becomes null, also in created_at, for ``reject_reason`` to set the row aside.
+    """
     changed: dict[str, Column] = {c: F.lower(F.col(c).cast("string")) for c in text_flags if c in rows.columns}
     for c in moments:
         if c in rows.columns:
             changed[c] = F.try_to_timestamp(F.col(c)) if dict(rows.dtypes)[c] == "string" else F.col(c)
     if "created_at" in changed:
-        changed["created_at"] = F.coalesce(changed["created_at"], literal(as_of).cast("timestamp"))
+        changed["created_at"] = F.when(F.col("created_at").isNull(), literal(as_of).cast("timestamp")).otherwise(changed["created_at"])
     return rows.withColumns(changed)

@@ -29,21 +29,27 @@ def days_between(spark, start: Moment, end: Moment) -> DataFrame:
 def calendar_plan(days: DataFrame, plan: DataFrame | None = None) -> DataFrame:
     """Planned orders per day: month target / days x week weight x weekday factor, cut to an integer.
 
-    A week without an entry uses scenario 0 with weight 1.  One row per month and week of a calendar is
-    at most 48 rows, which is what makes them safe to broadcast.
+    A week without an entry uses scenario 0 with weight 1, a month without any is planned at 0 orders.  A month and
+    week given twice, or a week that no day has (they are 1 to 4), is an error.
     """
     plan = plan_table(days.sparkSession) if plan is None else plan
     day = F.col("day")
-    plan = plan.where(F.col("month").between(1, 12) & F.col("week").between(1, 4)).dropDuplicates(["month", "week"])
-    month_base = F.broadcast(plan.groupBy("month").agg(F.max("base_orders").alias("base_orders")))
-    weeks = F.broadcast(plan.select("month", "week", "scenario_id", "weight"))
-    daily = F.col("base_orders") / F.dayofmonth(F.last_day(day)) * F.coalesce("weight", F.lit(1.0)) * times.weekday_factor(day)
+    month_base = plan.groupBy("month").agg(
+        F.max("base_orders").alias("base_orders"),
+        F.sort_array(F.collect_list(F.struct("week", "scenario_id", "weight"))).alias("_weeks"),
+    )
+    given = F.transform("_weeks", lambda w: w["week"])
+    wrong = (F.size(F.array_distinct(given)) < F.size(given)) | F.exists(given, lambda w: ~w.between(1, 4))
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("plan weeks must be 1 to 4, once a month; month "), F.col("month").cast("string"))).cast("int"))
+    month_base = month_base.withColumn("base_orders", checked.otherwise(F.col("base_orders")))
+    own = F.get(F.filter("_weeks", lambda w: w["week"] == F.col("week")), F.lit(0))
+    daily = F.col("base_orders") / F.dayofmonth(F.last_day(day)) * F.coalesce(own["weight"], F.lit(1.0)) * times.weekday_factor(day)
     return (
         days.withColumn("month", F.month(day))
         .withColumn("week", times.week_of_month(day))
-        .join(month_base, "month")
-        .join(weeks, ["month", "week"], "left")
-        .select("day", "week", F.coalesce("scenario_id", F.lit(0)).alias("scenario_id"), F.floor(daily).cast("int").alias("planned_orders"))
+        .join(month_base, "month", "left")
+        .select("day", "week", F.coalesce(own["scenario_id"], F.lit(0)).alias("scenario_id"),
+                F.coalesce(F.floor(daily).cast("int"), F.lit(0)).alias("planned_orders"))
     )
 
 

@@ -51,22 +51,24 @@ def weighted_draws(
     item_key: str,
     weight: str,
     seed: int | str = 42,
-    cells: int = 16384,
+    cells: int | None = None,
     digits: int = 3,
 ) -> DataFrame:
     """For every row of ``draws`` one item, with replacement, in proportion to ``weight``.
 
-    A draw is a point on the line of running totals.  The line is cut into equal cells and the join is
-    on the cell: points are uniform, so cells are equally full, and an item with a large weight is
-    copied to the many cells it spans, so it is spread as well.  Weights are computed once and settled.
+    A draw is a point on the line of running totals.  The line is cut into equal cells, as many
+    as items unless told, and the join is on the cell: points are uniform, so cells are equally full, an item
+    with a large weight is copied to the many cells it spans, so it is spread as well, and a cell meets two
+    items on average.  Weights count to 18 digits after the point; they are computed once and settled.
     """
-    positive = settle(items.where(F.col(weight) > 0).select(item_key, F.col(weight).cast("decimal(18,4)").alias("_w")))
+    positive = settle(items.where(F.col(weight) > 0).select(item_key, F.col(weight).cast("decimal(38,18)").alias("_w")))
     spans = prefix_sums(positive, item_key, "_w", digits)
-    total = F.lit(positive.agg(F.sum("_w").cast("double")).first()[0])
+    whole, count = positive.agg(F.sum("_w").cast("double"), F.count(F.lit(1))).first()
+    total, cells = F.lit(whole), cells or max(1, count)
     edges = spans.select(item_key, F.col("low").cast("double").alias("_low"), F.col("high").cast("double").alias("_high"))
 
     def cell(point: Column) -> Column:
-        return F.least(F.floor(point / total * cells), F.lit(cells - 1)).cast("int")
+        return F.least(F.floor(point / total * cells), F.lit(cells - 1)).cast("long")
 
     per_cell = edges.withColumn("_cell", F.explode(F.sequence(cell(F.col("_low")), cell(F.col("_high")))))
     points = draws.withColumn("_point", seeded.uniform(F.col(draw_key), seed) * total)

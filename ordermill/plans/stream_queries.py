@@ -30,6 +30,9 @@ def messages(raw):
         "quantity",
         (F.floor("total_amount") + 1000 * F.col("copy")).cast("int").alias("total_amount"),
         "payment_method",
+        F.when(F.col("quantity") % 2 == 0, "Success").otherwise("Cancelled").alias("status"),
+        (F.col("quantity") * 100).cast("int").alias("shipping_cost"),
+        (F.col("quantity") + F.col("copy")).cast("int").alias("discount_amount"),
         "user_age_group",
         envelopes.iso_text(F.col("created_at")).alias("created_at"),
     )
@@ -102,7 +105,7 @@ def as_stream(statistic: str):
     def build(t: Tables):
         run = uuid.uuid4().hex
         folder = f"{shared_folder(t.spark)}/streams/{run}"
-        started = jobs.start_statistic(live_events(t), statistic, folder, name=f"{statistic}_{run}", **PARAMETERS.get(statistic, {}))
+        started = jobs.start_statistic(live_events(t), statistic, folder, name=f"{statistic}_{run}", late_after=None, **PARAMETERS.get(statistic, {}))
         started.awaitTermination()
         return jobs.read_statistic(t.spark, statistic, folder)
 
@@ -135,15 +138,16 @@ for _statistic, _sql in STATISTIC_SQL.items():
 
 @query(
     "stream_ingest",
-    f"""WITH {MESSAGES} SELECT CAST(order_id AS VARCHAR) AS order_id, {DECODED_COLUMNS}
-        FROM messages_v WHERE category NOT IN ('error', 'signup') AND copy = 0""",
+    f"""WITH {MESSAGES} SELECT CAST(order_id AS VARCHAR) AS order_id, {DECODED_COLUMNS},
+        CASE WHEN quantity % 2 = 0 THEN 'Success' ELSE 'Cancelled' END AS status, CAST(quantity * 100 AS INTEGER) AS shipping_cost,
+        CAST(quantity + copy AS INTEGER) AS discount_amount FROM messages_v WHERE category NOT IN ('error', 'signup') AND copy = 0""",
 )
 def stream_ingest(t: Tables):
     run = uuid.uuid4().hex
     folder = f"{shared_folder(t.spark)}/streams/{run}"
     raw = events.read_event_stream(t.spark, f"{t.folder}/events*.parquet", "parquet", schema=t.raw("events").schema)
-    jobs.await_all(ingest.start_ingest(messages(raw), folder, name=f"ingest_{run}"))
-    return ingest.ingested(t.spark, folder).drop("user_region")
+    jobs.await_all(ingest.start_ingest(messages(raw), folder, ("arrived_at",), name=f"ingest_{run}"))
+    return ingest.ingested(t.spark, folder).drop("user_region", "user_name", "user_gender", "created_datetime", "updated_datetime")
 
 
 @query(

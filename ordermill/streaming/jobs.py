@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ordermill import fixed_values as fixed
 from ordermill.sources import sinks
 from ordermill.streaming import statistics
 
@@ -39,15 +40,19 @@ def start_complete(result: DataFrame, write: sinks.BatchWriter, checkpoint: str,
 
 
 def start_statistic(
-    orders: DataFrame, statistic: str, folder: str, every: str | None = None, name: str | None = None, **parameters
+    orders: DataFrame, statistic: str, folder: str, every: str | None = None, name: str | None = None,
+    late_after: str | None = fixed.LATE_AFTER, **parameters
 ) -> StreamingQuery:
     """One of ``statistics.STATISTICS`` over a stream of orders.
 
+    Live streams leave rows behind the watermark out of the windows; ``late_rows`` counts them.  A replay of a table has
+    no order to rely on: with ``late_after=None`` every row counts, whatever the number of batches.
+
     Customer totals have no window, so they are kept for all customers; the changed rows alone are
     written, and the state belongs in the disk-backed store (``session.build_session``).
     """
     aggregate, _ = statistics.STATISTICS[statistic]
-    result = aggregate(statistics.with_watermark(orders), **parameters)
+    result = aggregate(statistics.with_watermark(orders, late_after), **parameters)
     return start_keyed(result, f"{folder}/{statistic}/rows", f"{folder}/{statistic}/checkpoint", name or statistic, every)
 
 
@@ -64,9 +69,17 @@ def start_all(orders: DataFrame, folder: str, every: str | None = "10 seconds",
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
-    """Waits for every query; a failed one raises."""
-    for query in queries:
-        query.awaitTermination()
+    """Waits for every query; one that fails raises within seconds, also while others go on."""
+    while queries:
+        queries = [query for query in queries if not query.awaitTermination(1)]
+
+
+def late_rows(query: StreamingQuery) -> dict[int, int]:
+    """Batch -> rows the watermark kept out, over the batches whose progress Spark keeps.
+
+    A row is what reaches the state: rows of one key and window in one task count once.
+    """
+    return {p.batchId: sum(s.numRowsDroppedByWatermark for s in p.stateOperators) for p in query.recentProgress}
 
 
 def start_refresh(spark: SparkSession, action: Callable[[int], None], checkpoint: str, every: str, name: str) -> StreamingQuery:

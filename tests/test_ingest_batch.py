@@ -34,3 +34,5 @@ def test_normalise_types(spark):
     )
     got = [tuple(r) for r in ingest.normalise_types(raw, "2025-02-01").collect()]
     assert got == [("true", T[3], datetime(2025, 2, 1)), ("false", None, datetime(2025, 1, 1, 1, 0, 0, 500000))]
+    broken = spark.createDataFrame([("never",), (None,)], "created_at string")
+    assert [r[0] for r in ingest.normalise_types(broken, "2025-02-01").collect()] == [None, datetime(2025, 2, 1)]

@@ -33,6 +33,19 @@ def test_missing_week_uses_the_baseline(spark):
     assert got[8]["scenario_id"] == 0 and got[8]["planned_orders"] == 95
 
 
+def test_a_month_without_a_plan_keeps_its_days(spark):
+    plan = planning.plan_table(spark, {1: (3100, [(13, 0.5)])})
+    got = planning.calendar_plan(planning.days_between(spark, "2025-01-30", "2025-02-02"), plan).orderBy("day").collect()
+    assert [(r["scenario_id"], r["planned_orders"] > 0) for r in got] == [(0, True), (0, True), (0, False), (0, False)]
+
+
+@pytest.mark.parametrize("week", [1, 5])
+def test_a_plan_that_cannot_be_met_is_an_error(spark, week):
+    plan = planning.plan_table(spark, {1: (3100, [(13, 0.5)])}).unionByName(spark.createDataFrame([(1, week, 3100, 2, 1.0)], "month int, week int, base_orders int, scenario_id int, weight double"))
+    with pytest.raises(Exception, match="plan weeks"):
+        planning.calendar_plan(planning.days_between(spark, "2025-01-01", "2025-01-08"), plan).collect()
+
+
 @pytest.mark.parametrize("exact", [False, True])
 def test_hourly_allocation(spark, exact):
     days = [0, 1, 5, 23, 100, 299, 1000, 12345]

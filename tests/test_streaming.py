@@ -1,10 +1,13 @@
 import json
+import random
 import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from ordermill import schemas
 from ordermill.sources import events, sinks
 from ordermill.streaming import ingest, jobs, statistics
 
@@ -111,7 +114,7 @@ def test_ingest_inserts_once_and_counts_once(spark, tmp_path, rows):
     put_messages(source, "1.json", [(i, message(i)) for i in range(6)] + [(7, message(0, total_amount=999)), (8, "broken"), (9, message(1, order_id=None))])
     put_messages(source, "2.json", [(20, message(2, total_amount=777)), (21, message(6)), (22, message(7, created_at="never"))])
     put_messages(source, "3.json", [(30, message(6, total_amount=1))])  # copies only
-    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out))
+    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out, ("arrived_at",)))
     stored = {r["order_id"]: r["total_amount"] for r in ingest.ingested(spark, out).collect()}
     assert stored == {f"o{i}": 10 * i for i in range(7)}
     assert rows(ingest.product_order_counts(spark, out)) == [("p0", 2), ("p1", 2), ("p2", 2), ("p3", 1)]
@@ -158,7 +161,7 @@ def test_customers_and_products_are_inserted_once(spark, tmp_path):
     texts = [json.dumps({"event_type": "user_created", "timestamp": "x", "user": user | c}) for c in ({}, {"name": "other"}, {"user_id": "u2", "created_at": "2025-01-05"}, {"user_id": None})]
     put_messages(source, "1.json", list(enumerate(texts)))
     out = str(tmp_path / "users")
-    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out, name="users", entity="user"))
+    jobs.await_all(ingest.start_ingest(ingest_stream(spark, source), out, ("arrived_at",), name="users", entity="user"))
     got = {r["user_id"]: (r["name"], r["created_at"]) for r in ingest.ingested(spark, out, "user").collect()}
     assert got == {"u1": ("Kim", None), "u2": ("Kim", datetime(2025, 1, 5))}
     assert [r["reason"] for r in ingest.rejected_messages(spark, out).collect()] == ["missing key"]
@@ -167,3 +170,52 @@ def test_customers_and_products_are_inserted_once(spark, tmp_path):
     for batch_id in (0, 1):
         ingest.load_batch(loads, batch_id, str(tmp_path / "products"), "product")
     assert ingest.ingested(spark, str(tmp_path / "products"), "product").count() == 1
+
+
+@pytest.mark.parametrize("statistic", sorted(statistics.STATISTICS))
+def test_a_replay_of_unordered_files_loses_nothing(spark, tmp_path, rows, statistic):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    data = orders(400)
+    random.Random(3).shuffle(data)
+    for n in range(6):
+        put(spark, source, data[n::6], n)
+    extra = {"limit": 5} if statistic == "abnormal_windows" else {}
+    jobs.start_statistic(stream(spark, source), statistic, out, name=f"{statistic}_replay", late_after=None, **extra).awaitTermination()
+    aggregate, _ = statistics.STATISTICS[statistic]
+    assert rows(jobs.read_statistic(spark, statistic, out)) == rows(aggregate(spark.read.parquet(str(source)), **extra))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source = tmp_path / "in"
+    for n, moment in enumerate([T0 + timedelta(hours=2), T0 + timedelta(hours=2), T0]):
+        put(spark, source, [(f"o{n}", "u0", "A", 1.0, "P0", "G0", moment)], n)
+    query = jobs.start_statistic(stream(spark, source), "category_stats", str(tmp_path / "out"), name="late_count")
+    query.awaitTermination()
+    assert sum(jobs.late_rows(query).values()) == 1
+
+
+def test_the_first_copy_wins_whatever_the_file_sizes(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    put_messages(source, "1.json", [(i, message(i, status="Success")) for i in range(40)])
+    put_messages(source, "2.json", [(100 + i, message(i % 40, status="Cancelled", total_amount=-1)) for i in range(400)])
+    raw = events.read_event_stream(spark, str(source), "json", schema="arrived_at bigint, value string")
+    jobs.await_all(ingest.start_ingest(raw, out, ("arrived_at",)))
+    stored = ingest.ingested(spark, out)
+    assert {(r["order_id"], r["total_amount"], r["status"]) for r in stored.collect()} == {(f"o{i}", 10 * i, "Success") for i in range(40)}
+    assert stored.count() == 40 and stored.columns == schemas.ORDERS.fieldNames()
+
+
+def test_waiting_ends_with_any_failure(spark, tmp_path):
+    def fail(_, __):
+        raise ValueError("broken sink")
+
+    live = spark.readStream.format("rate").load().writeStream.queryName("lives").option("checkpointLocation", str(tmp_path / "a")).foreachBatch(lambda _, __: None)
+    source = tmp_path / "in"
+    put(spark, source, orders(3), 0)
+    broken = stream(spark, source).writeStream.queryName("breaks").option("checkpointLocation", str(tmp_path / "b")).foreachBatch(fail)
+    first = live.start()
+    try:
+        with pytest.raises(StreamingQueryException):
+            jobs.await_all([first, broken.start()])
+    finally:
+        first.stop()
