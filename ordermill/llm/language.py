@@ -12,7 +12,6 @@ side, so that one look-up serves all.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -175,11 +174,11 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     made = ("lang_pred", "score", "bits_per_byte")
     named = docs.drop(*made).withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = named.drop("_letter").selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(NULL AS DOUBLE) AS bits_per_byte").schema
-    held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    held = docs.sparkSession.sparkContext.broadcast(model)  # one copy for each worker, dropped with the next stage's tasks
     most = SLICE_BYTES * 4 // max(4, len(model.languages) if model else 1)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frozen = pickle.loads(held.value)
+        frozen = held.value
         for batch in batches:
             for some in slices(batch, "text", most):
                 letters = np.asarray(some.column("_letter"))
