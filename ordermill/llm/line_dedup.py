@@ -29,6 +29,7 @@ from ordermill.llm.storage import new_folder, read_arrow, settle_at, settle_tabl
 THRESHOLD = 0.8
 BUCKETS = 1 << 23  # of the table of word counts; its size is fixed, words that share a bucket share a count
 WORD_BLOCK = 1024  # lines that meet at one word, in a block
+SPAN_ROWS = 1 << 16
 BLOCK_WORDS = 1 << 20
 _U = np.uint64
 
@@ -56,8 +57,7 @@ def count_buckets(docs: DataFrame, folder: str) -> None:
         sums = np.zeros(BUCKETS, np.int32)
         for batch in batches:
             for some in slices(batch, "text"):
-                kinds, n = np.unique(bucket(line_words(some)[0]), return_counts=True)
-                sums[kinds] += n.astype(np.int32)
+                np.add.at(sums, bucket(line_words(some)[0]), np.int32(1))
         used = np.flatnonzero(sums)
         for low in range(0, len(used), 1 << 20):
             own = used[low : low + (1 << 20)]
@@ -75,6 +75,23 @@ def _counts(folder: str) -> np.ndarray:
     return sums
 
 
+def rank(counts: np.ndarray) -> np.ndarray:
+    """Counts as numbers of 19 bits in the same order; counts above 4,096 keep 12 leading bits."""
+    return counts.astype(np.float32).view(np.uint32).astype(np.uint64) >> _U(12)
+
+
+def in_order(line: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where the words stand by line, rank of their counts and hash; equal words of a line come together."""
+    held, middle = rank(counts), (hashes >> _U(17)) & _U((1 << 24) - 1)
+    if len(line) and line[-1] < 1 << 20:
+        key = line.astype(np.uint64) << _U(44) | held << _U(24) | middle
+        order = np.argsort(key)
+        key, own = key[order], hashes[order]
+        if not ((key[1:] == key[:-1]) & (own[1:] != own[:-1])).any():
+            return order
+    return np.lexsort((hashes, middle, held, line))
+
+
 class LineSets:
     """The word sets of a batch's lines, each sorted by rank."""
 
@@ -82,7 +99,7 @@ class LineSets:
         hashes, per_line, self.per_text = line_words(batch)
         line = np.repeat(np.arange(len(per_line)), per_line)
         n = counts[bucket(hashes)]
-        order = np.lexsort((hashes, n, line))
+        order = in_order(line, n, hashes)
         hashes, line = hashes[order], line[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
@@ -107,58 +124,73 @@ class LineSets:
         return held
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line, node and size of every line with a word; rows that repeat id and text are one document."""
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(BUCKETS, np.uint8)
-        for batch in batches:
-            for some in slices(batch, "text"):
-                sets = LineSets(some, none)
-                kept = np.flatnonzero(sets.sizes)
-                index = pa.array(sets.text[kept])
-                yield pa.RecordBatch.from_arrays([some.column("doc_id").take(index), some.column("text_hash").take(index), pa.array(sets.number[kept].astype(np.int32)),
-                                                  pa.array(sets.node[kept]), pa.array(sets.sizes[kept].astype(np.int32))], ["doc_id", "text_hash", "line", "node", "size"])
-
-    return docs.mapInArrow(read, "doc_id long, text_hash long, line int, node long, size int")
-
+def line_rows(docs: DataFrame, folder: str, threshold: float) -> DataFrame:
+    """Every line with a word: its place (doc_id, text_hash, line), node, size, map and prefix.
 
-def prefix_words(docs: DataFrame, folder: str, threshold: float) -> DataFrame:
-    """word, node, size, place and map of the first words of each line, without those that occur once in all lines."""
+    ``prefix`` has 32 bits of the first words' hashes, without the ``skip`` words that occur once in all lines; the first
+    ``cold`` of them occur at most ``WORD_BLOCK`` times.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(folder)
         for batch in batches:
             for some in slices(batch, "text"):
                 sets = LineSets(some, counts)
-                place = np.arange(len(sets.words)) - (sets.ends - sets.sizes)[sets.line]
+                kept = np.flatnonzero(sets.sizes)
                 size = sets.sizes[sets.line]
-                kept = (place < size - np.ceil(threshold * size - 1e-9) + 1) & (sets.n > 1)
-                own = sets.line[kept]
-                seen = np.unique(np.stack([sets.words[kept].view(np.int64), sets.node[own]]), axis=1, return_index=True)[1] if kept.any() else np.empty(0, np.int64)
-                own, maps = own[seen], sets.maps().view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(sets.words[kept][seen].view(np.int64)), pa.array(sets.node[own]), pa.array(sets.sizes[own].astype(np.int32)),
-                                                  pa.array(place[kept][seen].astype(np.int32)), pa.array(maps[own, 0]), pa.array(maps[own, 1])],
-                                                 ["word", "node", "size", "place", "map0", "map1"])
-
-    return docs.select("text").mapInArrow(read, "word long, node long, size int, place int, map0 long, map1 long")
-
-
-def candidate_edges(prefixes: DataFrame, threshold: float) -> DataFrame:
-    """src and dst of stars that span, at every word, the lines whose pairs pass the filters."""
-    found = prefixes.dropDuplicates(["word", "node"])
-    found = settle_table(found, "prefixes")
-    shared = found.groupBy("word").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    blocks = F.ceil(F.col("members") / WORD_BLOCK).cast("int")
-    rows = found.join(shared, "word").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("pair", F.explode(block_pairs(blocks, F.col("block"))))
-    rows = rows.select("word", "pair.i", "pair.j", "block", "size", "node", "place", "map0", "map1")
+                place = np.arange(len(sets.words)) - (sets.ends - sets.sizes)[sets.line]
+                first = place < size - np.ceil(threshold * size - 1e-9) + 1
+                shared = first & (sets.n > 1)
+
+                def per_line(chosen: np.ndarray) -> np.ndarray:
+                    return np.bincount(sets.line[chosen], minlength=len(sets.sizes))[kept]
+
+                index, maps = pa.array(sets.text[kept]), sets.maps().view(np.int64)[kept]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id").take(index), some.column("text_hash").take(index), pa.array(sets.number[kept].astype(np.int32)), pa.array(sets.node[kept]),
+                     pa.array(sets.sizes[kept].astype(np.int32)), pa.array(per_line(first & (sets.n <= 1)).astype(np.int32)), pa.array(per_line(shared & (sets.n <= WORD_BLOCK)).astype(np.int32)),
+                     pa.array(maps[:, 0]), pa.array(maps[:, 1]), as_list(sets.words[shared].astype(np.uint32).view(np.int32), per_line(shared), pa.int32())],
+                    ["doc_id", "text_hash", "line", "node", "size", "skip", "cold", "map0", "map1", "prefix"])
+
+    return docs.mapInArrow(read, "doc_id long, text_hash long, line int, node long, size int, skip int, cold int, map0 long, map1 long, prefix array<int>")
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least ``SPAN_ROWS``, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= SPAN_ROWS:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
+    """src and dst of stars that span, at every word, the lines whose pairs pass the filters.
+
+    Only words that may have more than ``WORD_BLOCK`` lines are counted, to cut their lines into blocks.
+    """
+    rows = nodes.select("node", "size", "skip", "cold", "map0", "map1", F.posexplode("prefix").alias("at", "word"))
+    rows = rows.select("word", "node", "size", (F.col("skip") + F.col("at")).alias("place"), "map0", "map1", (F.col("at") < F.col("cold")).alias("cold"))
+    once = F.lit(0)
+    cold = rows.where("cold").select("word", once.alias("i"), once.alias("j"), once.alias("block"), "size", "node", "place", "map0", "map1")
+    warm = rows.where(~F.col("cold"))
+    hot = settle_table(warm.groupBy("word").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > WORD_BLOCK), "hot-words")
+    blocks = F.coalesce(F.ceil(F.col("members") / WORD_BLOCK), F.lit(1)).cast("int")
+    warm = warm.join(hot, "word", "left").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("pair", F.explode(block_pairs(blocks, F.col("block"))))
+    rows = cold.union(warm.select("word", "pair.i", "pair.j", "block", "size", "node", "place", "map0", "map1"))
     keys = ["word", "i", "j"]
 
     def span(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches, keys):
+        for batch in _runs(_wide(batches), keys):
             group = _group_ids(batch, keys)
             node, size, place, block = (batch.column(c).to_numpy().astype(np.int64) for c in ("node", "size", "place", "block"))
             maps = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in ("map0", "map1")], 1)
             across = batch.column("i").to_numpy() != batch.column("j").to_numpy()
-            forest, ahead, at = Forest(len(node)), 1, np.arange(len(node) - 1)
+            forest, ahead = Forest(len(node)), 1
+            # of two lines, the shorter has a common word this early
+            at = np.flatnonzero(size - place >= np.ceil(2 * threshold / (1 + threshold) * size - 1e-9))
             while len(at):
                 at = at[at + ahead < len(node)]
                 # rows of a group come by size: once the next is too long, so are all after it
@@ -166,14 +198,15 @@ def candidate_edges(prefixes: DataFrame, threshold: float) -> DataFrame:
                 to = at + ahead
                 met = ~across[at] | (block[at] != block[to])
                 need = np.ceil(threshold / (1 + threshold) * (size[at] + size[to]) - 1e-9)
-                met &= 1 + np.minimum(size[at] - place[at], size[to] - place[to]) - 1 >= need
+                met &= np.minimum(size[at] - place[at], size[to] - place[to]) >= need
                 met &= np.bitwise_count(maps[at] ^ maps[to]).sum(1) <= size[at] + size[to] - 2 * need
-                roots = forest.roots()
-                met &= roots[at] != roots[to]
-                forest.join(at[met], to[met])
+                if met.any():
+                    roots = forest.roots()
+                    met &= roots[at] != roots[to]
+                    forest.join(at[met], to[met])
                 ahead += 1
             roots = forest.roots()
-            tied = roots != np.arange(len(roots))
+            tied = node != node[roots]
             yield pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(node[roots[tied]])], ["src", "dst"])
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, "size", "node").mapInArrow(span, "src long, dst long").distinct()
@@ -254,12 +287,14 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"), F.col("text").isNull().alias("_none"))
     folder = new_folder(docs.sparkSession, "words")
     count_buckets(named, folder)
-    found = settle_table(occurrences(named.drop("_none")), "lines")
-    nodes = settle_table(found.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("first"), F.min("size").alias("size")), "line-nodes")
-    edges = settle_table(candidate_edges(prefix_words(named, folder, threshold), threshold), "stars")
-    late = later_nodes(named.drop("_none"), nodes, connected_components(edges), threshold)
+    place = ["doc_id", "text_hash", "line"]
+    found = settle_table(line_rows(named.drop("_none"), folder, threshold), "lines")
+    least = found.groupBy("node").agg(F.min(F.struct(*place, "size", "skip", "cold", "map0", "map1", "prefix")).alias("least"))
+    nodes = settle_table(least.select("node", F.struct(*(f"least.{c}" for c in place)).alias("first"), *(f"least.{c}" for c in ("size", "skip", "cold", "map0", "map1", "prefix"))), "line-nodes")
+    edges = settle_table(candidate_edges(nodes, threshold), "stars")
+    late = later_nodes(named.drop("_none"), nodes.select("node", "first", "size"), connected_components(edges), threshold)
     firsts = nodes.join(late.withColumn("late", F.lit(True)), "node", "left").select("node", "first", F.coalesce("late", F.lit(False)).alias("late"))
-    here = F.struct("doc_id", "text_hash", "line")
+    here = F.struct(*place)
     gone = found.join(firsts, "node").where(F.col("late") | ~here.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "line")
     per_doc = gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("removed")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text"})
     lines = F.when(F.col("_none"), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
