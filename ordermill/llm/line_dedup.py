@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import as_list, mix, slices, utf8, word_hashes, words
-from ordermill.llm.components import connected_components
-from ordermill.llm.near_duplicates import GROUP_BLOCK, Forest, _group_ids, _runs, block_pairs, similar_pairs
+from ordermill.llm.components import Forest, connected_components
+from ordermill.llm.near_duplicates import GROUP_BLOCK, _group_ids, _runs, block_pairs, similar_pairs
 from ordermill.llm.storage import new_folder, read_arrow, settle_at, settle_table
 
 THRESHOLD = 0.8

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import as_list, hashed_words, mix, powers, shingles, slices
-from ordermill.llm.components import connected_components
+from ordermill.llm.components import Forest, connected_components
 from ordermill.llm.storage import settle_table
 
 THRESHOLD = 0.8
@@ -133,28 +133,6 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Rec
         yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
 
 
-class Forest:
-    """Union by smaller index over the rows of a batch."""
-
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def roots(self) -> np.ndarray:
-        while True:
-            above = self.up[self.up]
-            if (above == self.up).all():
-                return above
-            self.up = above
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        while len(a):
-            roots = self.roots()
-            ra, rb = roots[a], roots[b]
-            apart = ra != rb
-            a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-            np.minimum.at(self.up, np.maximum(ra, rb), np.minimum(ra, rb))
-
-
 def _group_ids(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
     columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
     new = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
