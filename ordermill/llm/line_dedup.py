@@ -30,6 +30,7 @@ THRESHOLD = 0.8
 BUCKETS = 1 << 23  # of the table of word counts; its size is fixed, words that share a bucket share a count
 WORD_BLOCK = 1024  # lines that meet at one word, in a block
 SPAN_ROWS = 1 << 16
+SLOTS = 1 << 24  # of the set of wanted documents; its size is fixed, documents that share a slot pass together
 BLOCK_WORDS = 1 << 20
 _U = np.uint64
 
@@ -212,6 +213,31 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "size", "node").mapInArrow(span, "src long, dst long").distinct()
 
 
+@lru_cache(1)
+def _slots(folder: str) -> np.ndarray:
+    held = np.zeros(SLOTS, bool)
+    held[read_arrow(folder, ["slot"]).column("slot").to_numpy()] = True
+    return held
+
+
+def maybe_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that may be among ``wanted`` (_doc, _text), and some others.
+
+    Spares a shuffle the texts of most documents without candidates.  The set has at most ``SLOTS`` slots; a corpus of many
+    more wanted documents fills it, and then all texts pass to the join that decides.
+    """
+    folder = new_folder(docs.sparkSession, "wanted")
+    settle_at(wanted.select(F.pmod(F.xxhash64("_doc", "_text"), F.lit(SLOTS)).cast("int").alias("slot")).distinct(), folder)
+    rows = docs.select("doc_id", "text_hash", "text", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SLOTS)).cast("int").alias("_slot"))
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = _slots(folder)
+        for batch in batches:
+            yield batch.filter(pa.array(slots[batch.column("_slot").to_numpy()])).select(["doc_id", "text_hash", "text"])
+
+    return rows.mapInArrow(passing, rows.drop("_slot").schema)
+
+
 def later_nodes(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """The nodes of candidate groups of which an earlier one is similar."""
     sized = nodes.join(groups, "node")
@@ -221,7 +247,8 @@ def later_nodes(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold:
     wanted = sized.groupBy("first.doc_id", "first.text_hash").agg(F.collect_list(F.struct(  # the lines of one document
         F.col("first.line").alias("line"), "node", "component", "blocks")).alias("wanted")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text"})
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_text"))
-    texts = docs.join(wanted, same).select("doc_id", "text_hash", "text", "wanted")
+    wanted = settle_table(wanted, "wanted-lines")
+    texts = maybe_wanted(docs, wanted).join(wanted, same).select("doc_id", "text_hash", "text", "wanted")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(BUCKETS, np.uint8)
