@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.columns import as_list, mix, slices, utf8, word_hashes, words
 from ordermill.llm.components import Forest, connected_components
-from ordermill.llm.near_duplicates import GROUP_BLOCK, _group_ids, _runs, block_pairs, similar_pairs
+from ordermill.llm.near_duplicates import _group_ids, _runs, block_pairs, similar_pairs
 from ordermill.llm.storage import new_folder, read_arrow, settle_at, settle_table
 
 THRESHOLD = 0.8
@@ -31,6 +31,7 @@ BUCKETS = 1 << 23  # of the table of word counts; its size is fixed, words that
 WORD_BLOCK = 1024  # lines that meet at one word, in a block
 SPAN_ROWS = 1 << 16
 SLOTS = 1 << 24  # of the set of wanted documents; its size is fixed, documents that share a slot pass together
+GROUP_BLOCK = 2048  # lines of a candidate group in a block; a line is sent once for every block of its group
 BLOCK_WORDS = 1 << 20
 _U = np.uint64
 
