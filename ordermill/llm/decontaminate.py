@@ -1,7 +1,8 @@
 """Benchmark items inside documents, by size-partitioned MinHash containment search (operator 10).
 
-Items are split by their number of five-word shingles into classes; class ``k`` holds items of more than ``2**(k-1)``
-and at most ``2**k`` shingles.  For each class, documents are seen through windows of three blocks of ``2**(k-1)``
+Items of at most ``SHORT`` five-word shingles are looked up exactly: an item that is there has at least one of a few of its
+shingles, as many as may be missing and one more, in the document.  Larger items are split by their number of shingles into
+classes; class ``k`` holds items of more than ``2**(k-1)`` and at most ``2**k`` shingles.  For each class, documents are seen through windows of three blocks of ``2**(k-1)``
 shingles, one block apart, so that any run as long as an item lies in one window and the Jaccard similarity of the two
 sets stays high however long the document is: at least 0.25 where four fifths of an item's shingles are there.  Window and item
 become candidates if one of ``HASHES`` MinHash values is equal, which misses such a pair with a probability of
@@ -30,13 +31,14 @@ _U = np.uint64
 _RNG = np.random.default_rng(20240210)
 _FLIP = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 _ODD = _RNG.integers(0, 1 << 63, HASHES, dtype=np.uint64) | _U(1)
-SMALLEST = 3  # the first class holds all items of at most 2**3 shingles
+SMALLEST = 3  # the first class holds items of at most 2**3 shingles
+SHORT = 1 << (SMALLEST - 1)  # shingles; items of no more belong to no class, as windows would be too wide for them
 
 
 class Items:
-    """Exact shingle sets of some items and, per size class, their MinHash values."""
+    """Exact shingle sets of some items, the shingles that tell short ones and, per size class, MinHash values."""
 
-    def __init__(self, ids: list, texts: list):
+    def __init__(self, ids: list, texts: list, threshold: float = THRESHOLD):
         hashes, counts = hashed_words(pa.array(texts, pa.string()))
         made, per_item = shingles(hashes, counts, short=False)
         sets = [np.unique(x) for x in np.split(made, np.cumsum(per_item)[:-1])] if len(ids) else []
@@ -49,16 +51,42 @@ class Items:
         self.classes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         by_class: dict[int, list[int]] = {}
         for i, own in enumerate(self.sets):
-            by_class.setdefault(max(SMALLEST, math.ceil(math.log2(len(own)))), []).append(i)
+            if len(own) > SHORT:
+                by_class.setdefault(math.ceil(math.log2(len(own))), []).append(i)
+        self.telling, self.told = self._telling([i for i, own in enumerate(self.sets) if len(own) <= SHORT], threshold)
         for k, members in by_class.items():
             values = np.stack([np.array([((self.sets[i] ^ f) * o).min() for f, o in zip(_FLIP, _ODD, strict=True)]) for i in members], 1)
             flat = (values ^ np.arange(HASHES, dtype=np.uint64)[:, None]).reshape(-1)  # a value counts for its own hash
             order = np.argsort(flat)
             self.classes[k] = flat[order], np.tile(np.array(members), HASHES)[order]
 
+    def _telling(self, short: list[int], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of which an item must have one in the document, in order, and their items; shared ones last."""
+        if not short:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        kinds, n = np.unique(np.concatenate([self.sets[i] for i in short]), return_counts=True)
+        chosen = []
+        for i in short:
+            own = self.sets[i]
+            most_missing = len(own) - math.ceil(threshold * len(own) - 1e-9)
+            chosen.append(own[np.argsort(n[np.searchsorted(kinds, own)], kind="stable")][: most_missing + 1])
+        hashes, items = np.concatenate(chosen), np.repeat(short, [len(c) for c in chosen])
+        order = np.argsort(hashes)
+        return hashes[order], items[order]
+
+    def _told(self, made: np.ndarray, per_text: np.ndarray) -> set[tuple[int, int]]:
+        """(text, item) pairs of short items of which a telling shingle is in the text."""
+        if not len(self.telling):
+            return set()
+        low = np.searchsorted(self.telling, made)
+        hit = np.flatnonzero(self.telling[np.minimum(low, len(self.telling) - 1)] == made)
+        owner = np.repeat(np.arange(len(per_text)), per_text)[hit]
+        high = np.searchsorted(self.telling, made[hit], "right")
+        return {(text, int(self.told[at])) for text, a, b in set(zip(owner.tolist(), low[hit].tolist(), high.tolist(), strict=True)) for at in range(a, b)}
+
     def candidates(self, made: np.ndarray, per_text: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item) pairs of which a window and the item share a MinHash value."""
-        found: set[tuple[int, int]] = set()
+        """(text, item) pairs that share a telling shingle, or of which a window and the item share a MinHash value."""
+        found = self._told(made, per_text)
         texts = np.flatnonzero(per_text)
         if not len(texts) or not self.classes:
             return found
@@ -129,7 +157,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     found = spark.createDataFrame([], kinds)
     rows = docs.select("doc_id", "text")
     for ids, texts in _passes(benchmark):
-        held = spark.sparkContext.broadcast(pickle.dumps(Items(ids, texts)))
+        held = spark.sparkContext.broadcast(pickle.dumps(Items(ids, texts, threshold)))
 
         def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             items = pickle.loads(held.value)
@@ -163,7 +191,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     """``docs`` without those that hold a benchmark item; decided row by row, so ids need not be unique or present."""
     kept = docs
     for ids, texts in _passes(benchmark):
-        held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Items(ids, texts)))
+        held = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Items(ids, texts, threshold)))
 
         def keep(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             items = pickle.loads(held.value)

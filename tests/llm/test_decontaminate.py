@@ -61,3 +61,31 @@ def test_empty_tables(spark, planted):
     assert D.contaminated(no_docs(spark), items_df).count() == 0
     assert D.contaminated(docs_df, items_df.limit(0)).count() == 0
     assert D.clean_documents(docs_df, items_df.limit(0)).count() == docs_df.count()
+
+
+def test_short_items_at_the_start_of_documents_are_all_found(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join(f"w{rng.randrange(100_000)}" for _ in range(n))
+    items = [(i, words(5 + i % 4 if i % 3 == 0 else 5)) for i in range(6000)] + [(6000 + i, f"which of these is w{i}") for i in range(20)]
+    docs = [(i, f"{text} {words(40)}") for i, text in items] + [(9000, "which of these is"), (9001, " ".join(["which of these is w3"] * 50))]
+    docs_df, items_df = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in D.contaminated(docs_df, items_df).collect())
+    assert found == sorted([(i, i) for i, _ in items] + [(9001, 6003)])
+    assert [r.doc_id for r in D.clean_documents(docs_df, items_df).collect()] == [9000]
+
+
+def test_a_lower_threshold_finds_short_items_in_part(spark):
+    docs = [(1, "a b c d e x y z u v"), (2, "x y a b c d y x"), (3, "x a b c d e f g y z")]
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, "a b c d e f g h")], "item_id long, text string"), 0.5)
+    assert [(r.doc_id, r.item_shingles, r.shared) for r in found.collect()] == [(3, 4, 3)]
+
+
+def test_every_class_keeps_the_stated_similarity():
+    for n in range(1, 2000):
+        items = D.Items([0], [" ".join(f"w{i}" for i in range(n + 4))])
+        if items.classes:
+            (k,) = items.classes
+            shared = -(-4 * n // 5)
+            assert shared / (3 * 2 ** (k - 1) + n - shared) >= 0.25
+        else:
+            assert n <= D.SHORT and len(items.telling) == 1  # at 0.8 every shingle must be there
