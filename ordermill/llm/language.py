@@ -23,7 +23,7 @@ from ordermill.llm.columns import SLICE_BYTES, slices, utf8
 
 ORDER = 4
 TEXTS_PER_LANGUAGE = 300  # the sample: so many texts at most of each language, chosen by a hash
-LONGEST_TEXT = 20_000  # bytes; longer texts are not chosen
+BYTES_PER_LANGUAGE = 6_000_000  # shared evenly by a language's texts in the sample; a longer text gives its beginning
 EVIDENCE_BYTES = 64  # the score weighs the languages as if the text had at most so many bytes
 UNKNOWN = "und"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -147,17 +147,21 @@ class Model:
 def fit(labelled: DataFrame) -> Model | None:
     """Count the sample of ``labelled`` (doc_id, text, lang); None without any labelled text.
 
-    The driver gets at most ``TEXTS_PER_LANGUAGE`` texts of at most ``LONGEST_TEXT`` bytes for each language.  Languages
-    are thinned by a hash before they are ranked, so that no task ranks all texts of a frequent one.
+    No label is left out for the length of its texts: the driver gets at most ``TEXTS_PER_LANGUAGE`` texts of each
+    language, and of each text about its even share of ``BYTES_PER_LANGUAGE`` at most, from the beginning; only empty
+    texts teach nothing.  Languages are thinned by a hash before they are ranked, so that no task ranks all texts of a
+    frequent one, and only the beginnings are ranked.
     """
-    rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    rows = rows.where(F.octet_length("text").between(1, LONGEST_TEXT))
+    rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND octet_length(text) > 0")
     counts = rows.groupBy("lang").count().collect()  # one row for each language
     if not counts:
         return None
     spark, full = labelled.sparkSession, 1 << 40
-    shares = spark.createDataFrame([(r["lang"], int(full * min(1.0, 4 * TEXTS_PER_LANGUAGE / r["count"]))) for r in counts], "lang string, share long")
+    limits = [(r["lang"], int(full * min(1.0, 4 * TEXTS_PER_LANGUAGE / r["count"])), BYTES_PER_LANGUAGE // min(TEXTS_PER_LANGUAGE, r["count"])) for r in counts]
+    shares = spark.createDataFrame(limits, "lang string, share long, most long")
     chosen = rows.withColumn("_h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(full))).join(F.broadcast(shares), "lang").where("_h < share")
+    beginning = F.expr("CASE WHEN octet_length(text) <= most THEN text ELSE left(text, CAST(greatest(1, floor(most * char_length(text) / octet_length(text))) AS INT)) END")
+    chosen = chosen.select("lang", "_h", "doc_id", beginning.alias("text"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
     samples: dict[str, list[str]] = {}
     for r in chosen.withColumn("_n", first).where(F.col("_n") <= TEXTS_PER_LANGUAGE).select("lang", "text").collect():

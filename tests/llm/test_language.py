@@ -87,3 +87,26 @@ def test_odd_rows(spark):
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
     assert {r.lang_pred for r in L.predict(docs, L.fit(docs.limit(0))).collect()} == {"und"}
     assert L.predict(no_docs(spark), model).count() == 0 and L.fit(no_docs(spark)) is None
+
+
+@pytest.mark.parametrize("short", [0, 400])
+def test_languages_of_long_texts_only_are_learnt(spark, short):
+    rng = random.Random(2)
+    text = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    long = [(i, text("жзиклмнопр", 6000), "ru") for i in range(3)] + [(10, text("abcdefgh", 8000), "en")]
+    docs = long + [(100 + i, text("qrstuvw", 30), "xx") for i in range(short)] + [(1000, "", "none")]
+    model = L.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    assert model.languages == sorted({"ru", "en"} | ({"xx"} if short else set()))
+    asked = spark.createDataFrame([(1, text("жзиклмнопр", 20)), (2, text("abcdefgh", 20))], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, r.bits_per_byte < 8) for r in L.predict(asked, model).collect()}
+    assert found == {1: ("ru", True), 2: ("en", True)}
+
+
+def test_the_sample_of_a_language_is_bounded(spark, monkeypatch):
+    taken = {}
+    monkeypatch.setattr(L, "Model", lambda samples: taken.update(samples))
+    monkeypatch.setattr(L, "BYTES_PER_LANGUAGE", 60_000)
+    docs = [(i, "é" * 5000, "many") for i in range(2000)] + [(5000, "é" * 50_000, "one"), (5001, "x" * 50_000, "whole")]
+    L.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    sizes = {name: [len(t.encode()) for t in texts] for name, texts in taken.items()}
+    assert sizes == {"many": [200] * L.TEXTS_PER_LANGUAGE, "one": [60_000], "whole": [50_000]}
