@@ -275,6 +275,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     null texts and texts without a word have no link and are classes of their own.  Rows without an id count, but
     name a class only by null.  Repeated rows are documents of their own; an empty table gives no rows.
     """
+    return _classed(docs, threshold).drop("kept")
+
+
+def _classed(docs: DataFrame, threshold: float) -> DataFrame:
+    """``near_duplicates`` with ``kept``, the node that stands for the class: of those with its least doc_id the least."""
     signed = settle_table(signatures(docs), "signatures")
     with_words = signed.where("size > 0")
     nodes = settle_table(with_words.groupBy("node").agg(
@@ -289,11 +294,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     known = nodes.select("node", "doc_id", "copies").join(summed, "node", "left").select(
         "node", "doc_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     known = settle_table(known, "roots")
-    classes = known.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    known = known.join(classes, "root").select("node", "class_id", "copies", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    classes = known.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node"))["node"].alias("kept"))
+    known = known.join(classes, "root").select("node", "class_id", "copies", (F.col("links") + F.col("copies") - 1).alias("n_links"), "kept")
     ours = signed.select("doc_id", "node", "size")
-    linked = ours.where("size > 0").join(known, "node").select("doc_id", "class_id", "n_links", "copies", "node")
-    alone = ours.where("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"), "node")
+    linked = ours.where("size > 0").join(known, "node").select("doc_id", "class_id", "n_links", "copies", "node", "kept")
+    alone = ours.where("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("copies"), "node", F.col("node").alias("kept"))
     return linked.union(alone)
 
 
@@ -310,12 +315,12 @@ def with_nodes(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with just the document of each class that names it.
+    """``docs`` with just one document of each class: one that names it.
 
-    Of rows that repeat its id and words one stays.  Texts without a word all stay.  Classes without any id keep one row
-    of each text.
+    Of different texts with that id, and of a class without any id, the one of the least node stays; of rows that repeat
+    id and words one.  Texts without a word all stay.
     """
-    found = near_duplicates(docs, threshold).where("node <> 0 AND doc_id <=> class_id").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_kept")).distinct()
+    found = _classed(docs, threshold).where("node <> 0 AND node = kept AND doc_id <=> class_id").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_kept")).distinct()
     named = with_nodes(docs)
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_node") == F.col("_kept"))
     number = F.row_number().over(Window.partitionBy("doc_id", "_node").orderBy("_node"))

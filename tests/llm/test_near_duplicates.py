@@ -90,6 +90,16 @@ def test_one_of_each_class_stays(spark, rows):
     assert Counter(r.doc_id for r in kept.collect()) == expected
 
 
+def test_one_row_stays_of_versions_under_one_id_and_of_classes_without_ids(spark):
+    base = [f"w{i}" for i in range(80)]
+    version = lambda prefix, k: " ".join([*(prefix + w for w in base), f"end{k}"])
+    rows = [(1, version("a", k)) for k in range(4)] * 2 + [(9, version("a", 9))]
+    rows += [(None, version("b", k)) for k in range(3)] * 2
+    rows += [(5, version("c", 0)), (5, version("d", 0)), (None, version("c", 1))]  # one id in two classes
+    kept = N.one_of_each_class(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "b"), (1, "a"), (5, "c"), (5, "d")]
+
+
 def test_odd_rows(spark):
     docs = some_docs(spark)
     assert N.near_duplicates(docs).count() == docs.count()
