@@ -15,7 +15,7 @@ from ordermill.llm.shipping import ship_package
 from ordermill.llm.storage import settle_table
 
 WORST_BITS = 8.0  # a byte; a text that costs more in every language than plain bytes do is in none of them
-JUDGED_BYTES = 64  # shorter texts are too short to tell that
+MARGIN_BITS = 20.0  # a text may cost so many more; a word or two in a learned language seldom costs 4 more
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ship_package(spark)
     model = language.fit(docs)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    found = language.predict(rows, model).where((F.col("lang_pred") != language.UNKNOWN) & ((F.col("bits_per_byte") <= WORST_BITS) | (F.octet_length("text") < JUDGED_BYTES)))
+    known = (F.col("bits_per_byte") - WORST_BITS) * F.octet_length("text") <= MARGIN_BITS
+    found = language.predict(rows, model).where((F.col("lang_pred") != language.UNKNOWN) & known)
     if model is None:
         found = rows.where(F.col("text").rlike(r"\p{L}"))
     return found.select("row.*")

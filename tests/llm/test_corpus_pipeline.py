@@ -52,6 +52,15 @@ def test_stages_against_brute_force(spark):
     assert [r.ids_crc32 for r in found] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
 
 
+def test_short_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = ["Да", "мир", "Привет", "Привет, как дела?", "日本語", "これは日本語の文章です", "שלום"]
+    native = ["x", "ok", "Yes.", "The end", "naïve café", "año", "straße", "what is that?"]
+    short = [(10**6 + i, t, None) for i, t in enumerate(foreign)] + [(2 * 10**6 + i, t, None) for i, t in enumerate(native)]
+    kept = P.known_language(spark, docs.union(spark.createDataFrame(short, docs.schema)), DATA)
+    assert sorted(r.text for r in kept.where("doc_id >= 1000000").collect()) == sorted(native)
+
+
 def test_run_is_its_stages(spark):
     assert [name for name, _ in P.STAGES] == ["language", "near_duplicates", "decontamination", "mixing", "token_files"]
     rows = P.run(spark, DATA).collect()
