@@ -159,12 +159,15 @@ def scenario_for_hour(scenarios: DataFrame, hours: DataFrame) -> DataFrame:
     """Settings in force per hour: weights of the hour's scenario, volume of the baseline.
 
     Only the night scenario brings its own volume.  ``scenarios`` has one row per scenario with
-    ``weights`` (a map) and ``volume_min``/``volume_max``; ``hours`` has a column ``hour``.
+    ``weights`` (a map) and ``volume_min``/``volume_max``, and one given twice is an error; ``hours`` has a column ``hour``.
     """
     base = scenarios.where(F.col("scenario_id") == 0)
     weights, low, high = [base.select(c).scalar() for c in ("weights", "volume_min", "volume_max")]
     named = [0, *sorted(set(fixed.HOUR_SCENARIO.values()))]
-    settings = scenarios.where(F.col("scenario_id").isin(named)).dropDuplicates(["scenario_id"])  # at most three rows
+    rows = scenarios.where(F.col("scenario_id").isin(named)).groupBy("scenario_id").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in ("weights", "volume_min", "volume_max")])  # at most three rows
+    twice = F.raise_error(F.concat(F.lit("a scenario must be given once; scenario "), F.col("scenario_id").cast("string"))).cast("int")
+    settings = rows.where(F.when(F.col("_n") > 1, twice).otherwise(1) == 1).drop("_n")
     night = F.col("scenario_id") == fixed.NIGHT_SCENARIO
     return (
         hours.withColumn("scenario_id", scenario_of_hour(F.col("hour")))

@@ -114,3 +114,11 @@ def test_scenarios_are_completed_to_all_categories(spark):
     assert got[0, "영양제"] == 6
     settings = {r["scenario_id"]: r["weights"] for r in rules.scenario_settings(document(spark), weights=full).collect()}
     assert settings[17]["category:골프"] == 1.8 and settings[17]["gender:M"] == 35
+
+
+@pytest.mark.parametrize("scenario", [17, 19])
+def test_a_scenario_given_twice_is_an_error_for_hours(spark, scenario):
+    settings = rules.scenario_settings(document(spark))
+    hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
+    with pytest.raises(Exception, match=f"given once; scenario {scenario}"):
+        scoring.scenario_for_hour(settings.union(settings.where(F.col("scenario_id") == scenario)), hours).collect()
