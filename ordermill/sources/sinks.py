@@ -1,20 +1,20 @@
-"""Sinks: topics, per-batch folders, keyed results, overwritten tables, pool snapshots.
+"""Sinks: topics, per-batch parts, keyed results, replaced tables, pool snapshots.
 
-A batch folder is named by its batch id and written in overwrite mode, so a batch that is repeated after
-a failure replaces itself.  Keyed results are a log of such folders; readers take the newest row per key.
+What a stream or job writes is a ``versions.VersionedTable``: a batch that is repeated after a failure takes its own
+place, and readers see whole versions.  Keyed results are a log of such batches; readers take the newest row per key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
 from ordermill.functions.times import Moment, moment
 from ordermill.session import settle
+from ordermill.sources.versions import BATCH, Merge, VersionedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -28,10 +28,13 @@ def publish_events(messages: DataFrame, topic: str, fmt: str = "kafka", path: st
     messages.select("key", "value", split).write.mode("append").partitionBy("partition").format(fmt).options(**options).save(f"{path}/{topic}")
 
 
-def append_folder(path: str, fmt: str = "parquet") -> BatchWriter:
-    """Appends each batch as its own folder."""
+def append_folder(path: str, merge: Merge | None = None) -> BatchWriter:
+    """Appends each batch as a part of a table; ``merge`` shrinks the rows of several batches into fewer, in steps."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        table = VersionedTable(batch.sparkSession, path)
+        table.append(batch, batch_id)
+        table.merge_levels(merge)
+        table.clean()
 
     return write
 
@@ -59,6 +62,11 @@ def overwrite_table(target: str, fmt: str = "parquet", **options) -> BatchWriter
     return write
 
 
+def replace_table(path: str) -> BatchWriter:
+    """Replaces the whole result with each batch (complete mode); readers see the last version until the next is whole."""
+    return lambda batch, batch_id: VersionedTable(batch.sparkSession, path).publish(batch, batch_id)
+
+
 def each_batch(*writers: BatchWriter) -> BatchWriter:
     """Runs the writers on one evaluation of the batch; an empty batch writes nothing."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -74,64 +82,53 @@ def each_batch(*writers: BatchWriter) -> BatchWriter:
 
 
 def batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batch folders of a sink with their batch_id."""
-    return spark.read.option("mergeSchema", "false").parquet(path)
+    """All rows of a table of batches with their batch_id."""
+    rows = VersionedTable(spark, path).read()
+    if rows is None:
+        raise FileNotFoundError(f"no batch was written to {path}")
+    return rows
 
 
-def newest_rows(log: DataFrame, key: list[str], version: str = "batch_id") -> DataFrame:
-    """The newest row per key."""
-    rest = [c for c in log.columns if c not in key and c != version]
+def newest_kept(log: DataFrame, key: list[str], version: str = BATCH) -> DataFrame:
+    """The newest row per key with its version; can be applied in steps."""
+    rest = [c for c in log.columns if c not in key]
     newest = F.max_by(F.struct(*rest), F.col(version)).alias("_row")
-    return log.groupBy(*key).agg(newest).select(*key, "_row.*")
+    return log.groupBy(*key).agg(newest).select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in log.columns])
 
 
-def _base(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
-    """The newest compacted table and the last batch it covers."""
-    try:
-        tables = spark.read.parquet(f"{path}_base")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return -1, None
-    upto = tables.agg(F.max("upto")).first()[0]
-    return upto, tables.where(F.col("upto") == upto).drop("upto")
-
-
-def _keyed(spark: SparkSession, path: str, key: list[str], until: int | None) -> DataFrame:
-    upto, base = _base(spark, path)
-    log = batches(spark, path).where(F.col("batch_id") > upto)  # prunes folders
-    if until is not None:
-        log = log.where(F.col("batch_id") <= until)
-    if base is not None:
-        log = log.unionByName(base.withColumn("batch_id", F.lit(upto)))
-    return newest_rows(log, key)
+def newest_rows(log: DataFrame, key: list[str], version: str = BATCH) -> DataFrame:
+    """The newest row per key."""
+    rest = [c for c in log.columns if c not in key and c != version]
+    return newest_kept(log, key, version).select(*key, *rest)
 
 
 def read_keyed(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
-    """The current row of every key: the compacted table and the batches after it."""
-    return _keyed(spark, path, key, None)
+    """The current row of every key."""
+    return newest_rows(batches(spark, path), key)
 
 
 def compact_keyed(spark: SparkSession, path: str, key: list[str]) -> int:
-    """Merges the batches so far into a new compacted table; later reads skip their folders.
+    """Merges all batches so far into one part; returns the last of them.  A stream may go on writing meanwhile."""
+    return VersionedTable(spark, path).merge_all(lambda log: newest_kept(log, key)).last
 
-    A stream may go on writing meanwhile.  Returns the last batch merged, so that a retention job knows
-    which folders are no longer read.
-    """
-    until = batches(spark, path).agg(F.max("batch_id")).first()[0]
-    _keyed(spark, path, key, until).write.mode("overwrite").parquet(f"{path}_base/upto={until}")
-    return until
+
+def _base(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """The last batch that merged parts cover, and their rows."""
+    table = VersionedTable(spark, path)
+    merged = tuple(p for p in table.manifest().parts if p.level)
+    return max((p.last for p in merged), default=-1), table.read(merged)
 
 
 def write_pool_snapshot(pool: DataFrame, path: str, as_of: Moment) -> None:
-    """A new version of the pool with its size and time; readers see it once it is complete."""
+    """A new version of the pool with its size and time; readers see it once it is complete.  An older ``as_of`` changes nothing."""
     pool = settle(pool)  # selected once, counted and written from there
     size = pool.agg(F.count(F.lit(1))).scalar()
     stamped = pool.withColumns({"count": size, "updated_at": F.lit(moment(as_of).isoformat())})
-    stamped.write.mode("overwrite").parquet(f"{path}/version={moment(as_of):%Y%m%d%H%M%S}")
+    table = VersionedTable(pool.sparkSession, path)
+    table.publish(stamped, int(f"{moment(as_of):%Y%m%d%H%M%S}"))
+    table.clean()
 
 
 def read_pool(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of the pool."""
-    versions = spark.read.parquet(path)
-    return versions.where(F.col("version") == versions.agg(F.max("version")).scalar()).drop("version")
+    return batches(spark, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -17,13 +18,17 @@ def _triggered(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def start_keyed(result: DataFrame, path: str, checkpoint: str, name: str, every: str | None = None) -> StreamingQuery:
-    """Writes the rows each batch changed; ``sinks.read_keyed`` gives the current table."""
+def start_keyed(result: DataFrame, path: str, checkpoint: str, name: str, every: str | None = None, key: list[str] | None = None) -> StreamingQuery:
+    """Writes the rows each batch changed; ``sinks.read_keyed`` gives the current table.
+
+    With ``key``, merged batches keep the newest row of each key alone.
+    """
+    merge = partial(sinks.newest_kept, key=key) if key else None
     writer = (
         result.writeStream.queryName(name)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(sinks.each_batch(sinks.append_folder(path)))
+        .foreachBatch(sinks.each_batch(sinks.append_folder(path, merge)))
     )
     return _triggered(writer, every).start()
 
@@ -51,9 +56,9 @@ def start_statistic(
     Customer totals have no window, so they are kept for all customers; the changed rows alone are
     written, and the state belongs in the disk-backed store (``session.build_session``).
     """
-    aggregate, _ = statistics.STATISTICS[statistic]
+    aggregate, key = statistics.STATISTICS[statistic]
     result = aggregate(statistics.with_watermark(orders, late_after), **parameters)
-    return start_keyed(result, f"{folder}/{statistic}/rows", f"{folder}/{statistic}/checkpoint", name or statistic, every)
+    return start_keyed(result, f"{folder}/{statistic}/rows", f"{folder}/{statistic}/checkpoint", name or statistic, every, key)
 
 
 def read_statistic(spark: SparkSession, statistic: str, folder: str) -> DataFrame:
