@@ -150,6 +150,41 @@ def stream_ingest(t: Tables):
     return ingest.ingested(t.spark, folder).drop("user_region", "user_name", "user_gender", "created_datetime", "updated_datetime")
 
 
+def fed(t: Tables, entity: str, rows) -> str:
+    """A folder into which customers or products were loaded in two halves and the orders streamed."""
+    run = uuid.uuid4().hex
+    folder = f"{shared_folder(t.spark)}/streams/{run}"
+    key = f"{entity}_id"
+    sent = envelopes.encode_envelope(rows, entity, EMITTED, key).select("value", F.xxhash64("key").alias("arrived_at"))
+    ingest.load_batch(sent.where("arrived_at < 0"), 0, folder, entity)
+    ingest.load_batch(sent, 1, folder, entity)
+    raw = events.read_event_stream(t.spark, f"{t.folder}/events*.parquet", "parquet", schema=t.raw("events").schema)
+    jobs.await_all(ingest.start_ingest(messages(raw), folder, ("arrived_at",), name=f"orders_{run}"))
+    return folder
+
+
+@query(
+    "stream_users",
+    f"""WITH {MESSAGES} SELECT CAST(c_custkey AS VARCHAR) AS user_id, any_value(c_name) AS name, max(created_at) AS last_ordered_at
+        FROM customer LEFT JOIN (SELECT * FROM messages_v WHERE category NOT IN ('error', 'signup') AND copy = 0) ON user_id = c_custkey GROUP BY c_custkey""",
+)
+def stream_users(t: Tables):
+    """Customers as the stream of orders leaves them."""
+    users = t.raw("customer").select(F.col("c_custkey").cast("string").alias("user_id"), F.col("c_name").alias("name"))
+    return ingest.current_users(t.spark, fed(t, "user", users)).select("user_id", "name", "last_ordered_at")
+
+
+@query(
+    "stream_products",
+    f"""WITH {MESSAGES}, sold AS (SELECT quantity, count(*) AS n FROM messages_v WHERE category NOT IN ('error', 'signup') AND copy = 0 GROUP BY 1)
+        SELECT 'P' || p_partkey AS product_id, p_name AS name, n AS order_count FROM part LEFT JOIN sold ON quantity = p_partkey""",
+)
+def stream_products(t: Tables):
+    """Products as the stream of orders leaves them."""
+    products = t.raw("part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"), F.col("p_name").alias("name"))
+    return ingest.current_products(t.spark, fed(t, "product", products)).select("product_id", "name", "order_count")
+
+
 @query(
     "bulk_load",
     f"""WITH {MESSAGES} SELECT 'P' || quantity AS product_id, count(*) AS order_count FROM messages_v
