@@ -63,9 +63,27 @@ def mean_basket_size(sizes: DataFrame) -> DataFrame:
     )
 
 
-def _given(orders: DataFrame, name: str, derived):
-    """What the order already carries stays; only gaps are filled."""
-    return F.coalesce(F.col(name), derived) if name in orders.columns else derived
+LABELS = {"category": "_category", "user_region": "_region", "user_gender": "_gender", "user_age_group": "_age_group"}
+
+
+def customer_labels(users: DataFrame, region: Column | None = None, age_group: Column | None = None) -> DataFrame:
+    """What an order carries of its customer, once per customer."""
+    return users.select(
+        "user_id",
+        (people.first_region(F.col("address")) if region is None else region).alias("_region"),
+        F.col("gender").alias("_gender"),
+        (people.age_decade(F.col("age")) if age_group is None else age_group).alias("_age_group"),
+    )
+
+
+def product_labels(products: DataFrame) -> DataFrame:
+    return products.select("product_id", F.col("category").alias("_category"))
+
+
+def with_labels(joined: DataFrame, columns: list[str]) -> DataFrame:
+    """Orders (``columns``) joined with both kinds of labels as rows that carry them; what they carry already stays."""
+    filled = {c: F.coalesce(F.col(c), F.col(label)) if c in columns else F.col(label) for c, label in LABELS.items()}
+    return joined.withColumns(filled).select(*columns, *[c for c in filled if c not in columns])
 
 
 def denormalise_orders(
@@ -85,21 +103,9 @@ def denormalise_orders(
 
     Labels are made on the customer side, once per customer and not once per order.
     """
-    who = users.select(
-        "user_id",
-        (people.first_region(F.col("address")) if region is None else region).alias("_region"),
-        F.col("gender").alias("_gender"),
-        (people.age_decade(F.col("age")) if age_group is None else age_group).alias("_age_group"),
-    )
-    what = products.select("product_id", F.col("category").alias("_category"))
+    who, what = customer_labels(users, region, age_group), product_labels(products)
     joined = join_each(orders, {"user_id": who, "product_id": what}, spread_by=identity, **sizes)
-    filled = {
-        "category": _given(orders, "category", F.col("_category")),
-        "user_region": _given(orders, "user_region", F.col("_region")),
-        "user_gender": _given(orders, "user_gender", F.col("_gender")),
-        "user_age_group": _given(orders, "user_age_group", F.col("_age_group")),
-    }
-    return joined.withColumns(filled).select(*orders.columns, *[c for c in filled if c not in orders.columns])
+    return with_labels(joined, orders.columns)
 
 
 def reject_orphans(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
@@ -11,6 +11,9 @@ from ordermill.functions import money, times
 from ordermill.functions.times import Moment
 from ordermill.session import settle
 
+BINS = 1024  # of a round of ``least_of_top``; the driver gets a row for each
+LAST_VALUES = 4096  # rows of a bin whose different values are told apart in one more round
+
 
 def spend_per_user(orders: DataFrame, since: Moment | None = None, success_only: bool = True) -> DataFrame:
     """user_id, total_amount, order_count; partial sums keep a very active customer cheap."""
@@ -78,38 +81,48 @@ def segment_revenue(orders: DataFrame, as_of: Moment, days: int = 30) -> DataFra
     return _per_segment(orders, as_of, days).select("segment", "revenue").orderBy(F.desc("revenue"), "segment")
 
 
-def at_least_top(values: DataFrame, column: str, fraction: float, accuracy: int = 100_000) -> DataFrame:
-    """Rows whose PERCENT_RANK by ``column``, largest first, is at most ``fraction``.
+def least_of_top(values: DataFrame, column: str, fraction: float, bins: int = BINS):
+    """The smallest value of ``column`` whose PERCENT_RANK, largest first, is at most ``fraction``; None without a value.
 
-    All that is needed is the smallest value that still qualifies.  A quantile sketch brackets it
-    (its rank error is at most n / accuracy, the bracket is twice as wide); rows above the bracket are
-    only counted, and just the distinct values inside it, about 4 n / accuracy, are put in order.
-    Reads ``values`` three times, so it should be cheap to read (see ``settle``); the driver sees
-    five numbers.
+    A round cuts the range of values that is still open into ``bins`` equal ones and counts them, with the least and
+    greatest value of each; the bin in which the cutoff must lie is the next range.  Its ends are values, so every round takes
+    some away, and a bin of one value, or of ``LAST_VALUES`` rows, ends it.  No value is estimated, nothing is sorted, and
+    a task sees rows or counts of bins.
     """
     value = F.col(column)
-    values = values.where(value.isNotNull())
-    slack = 2.0 / accuracy
-    edges = F.percentile_approx(column, [max(0.0, 1 - fraction - slack), min(1.0, 1 - fraction + slack)], accuracy)
-    sketch = values.agg(F.count(F.lit(1)).alias("n"), edges.alias("edges")).first()
-    if not sketch["n"]:
-        return values
-    low, high = sketch["edges"]
-    top = values.agg(
-        F.count_if(value > F.lit(high)).alias("above"), F.min(F.when(value > F.lit(high), value)).alias("next_up")
-    ).first()
-    before = Window.orderBy(F.desc("_value")).rowsBetween(Window.unboundedPreceding, -1)
-    larger = F.coalesce(F.sum("_rows").over(before), F.lit(0)) + top["above"]
-    cutoff = (
-        values.where(value.between(F.lit(low), F.lit(high)))
-        .groupBy(value.alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_value", (larger / F.lit(float(max(sketch["n"] - 1, 1)))).alias("_percent_rank"))
-        .where(F.col("_percent_rank") <= fraction)
-        .agg(F.min("_value").alias("cutoff"))
-        .scalar()
-    )
-    return values.where(value >= F.coalesce(cutoff, F.lit(top["next_up"])))
+    n, low, high = values.agg(F.count(value), F.min(value), F.max(value)).first()
+    if not n or fraction < 0:
+        return None
+    above, rows, exact = 0, n, "decimal(20,0)" if isinstance(low, int) else None  # differences of whole numbers may exceed their type
+    fits = lambda larger: larger / max(n - 1, 1) <= fraction
+    while low != high and low == low:  # a value that differs from itself is not a number, in Spark the greatest
+        inside = values.where(value.between(F.lit(low), F.lit(high)))
+        if rows <= LAST_VALUES:
+            counts = inside.groupBy(value.alias("low")).agg(F.count(F.lit(1)).alias("n"), F.max(value).alias("high"), F.max(value).alias("bin")).collect()
+        else:
+            from_low = (lambda x: (x.cast(exact) - F.lit(low).cast(exact)).cast("double")) if exact else lambda x: (x - F.lit(low)).cast("double")
+            share = from_low(value) / from_low(F.lit(high))
+            number = F.least(F.floor(share * bins), F.lit(bins - 1))
+            ends = [F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")]
+            counts = inside.groupBy(number.alias("bin")).agg(*ends).collect()
+            if len(counts) == 1:  # the range ends in no number or without bound: its end is a bin, the rest another
+                counts = inside.groupBy((value == F.lit(high)).cast("int").alias("bin")).agg(*ends).collect()
+        before = above
+        for held in sorted(counts, key=lambda r: r["bin"], reverse=True):
+            if not fits(before):
+                break
+            low, high, above, rows = held["low"], held["high"], before, held["n"]
+            before += held["n"]
+    return low
+
+
+def at_least_top(values: DataFrame, column: str, fraction: float, bins: int = BINS) -> DataFrame:
+    """Rows whose PERCENT_RANK by ``column``, largest first, is at most ``fraction``; exact, ties included.
+
+    Reads ``values`` a few times, so it should be cheap to read (see ``settle``).  Rows without a value go.
+    """
+    cutoff = least_of_top(values, column, fraction, bins)
+    return values.where(F.lit(False) if cutoff is None else F.col(column) >= F.lit(cutoff))
 
 
 def top_fraction_customers(

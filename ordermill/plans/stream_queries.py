@@ -8,7 +8,7 @@ from ordermill.plans.bindings import EVENTS, Tables, order_events, with_views
 from ordermill.plans.registry import query
 from ordermill.session import shared_folder
 from ordermill.sources import envelopes, events, sinks
-from ordermill.streaming import ingest, jobs, statistics
+from ordermill.streaming import enrich, ingest, jobs, late, statistics
 
 EMITTED = "2024-02-01 12:00:00"
 
@@ -136,6 +136,28 @@ for _statistic, _sql in STATISTIC_SQL.items():
     query(STREAM_NAMES[_statistic], f"{with_views(EVENTS)} {_sql}")(as_stream(_statistic))
 
 
+query(
+    "alert_spans",
+    f"""{with_views(EVENTS)}, windows_v AS ({STATISTIC_SQL["abnormal_windows"]}),
+        busy AS (SELECT *, window_start - INTERVAL 1 MINUTE * (row_number() OVER (ORDER BY window_start)) AS island FROM windows_v WHERE abnormal_orders >= 2)
+        SELECT min(window_start) AS opened_at, max(window_end) AS closed_at, max(abnormal_orders) AS most_orders, count(*) AS windows FROM busy GROUP BY island""",
+)(lambda t: statistics.alert_spans(statistics.abnormal_windows(t.events, limit=100), least=2))
+
+
+@query(
+    "stream_late_folded",
+    f"{with_views(EVENTS)} {STATISTIC_SQL['category_stats']}",
+)
+def stream_late_folded(t: Tables):
+    """The events by the minute, read in no order: what the watermark sets aside is folded in by the next batch."""
+    run = uuid.uuid4().hex
+    folder = f"{shared_folder(t.spark)}/streams/{run}"
+    orders = t.events.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    for batch_id in range(3):
+        late.add_batch(orders.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == batch_id), batch_id, "category_stats", folder)
+    return late.read_audited(t.spark, "category_stats", folder, with_unfolded=True)
+
+
 @query(
     "stream_ingest",
     f"""WITH {MESSAGES} SELECT CAST(order_id AS VARCHAR) AS order_id, {DECODED_COLUMNS},
@@ -185,6 +207,22 @@ def stream_products(t: Tables):
     return ingest.current_products(t.spark, fed(t, "product", products)).select("product_id", "name", "order_count")
 
 
+@query(
+    "stream_enriched",
+    f"""{with_views(EVENTS)} SELECT e.order_id, e.user_id, e.quantity AS product_id, p_type AS category, CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS user_gender
+        FROM events_v AS e JOIN customer ON e.user_id = c_custkey JOIN part ON e.quantity = p_partkey""",
+)
+def stream_enriched(t: Tables):
+    """Orders that come before half of their customers and products; those that waited are there in the end."""
+    folder = f"{shared_folder(t.spark)}/streams/{uuid.uuid4().hex}"
+    orders = t.events.select("order_id", "user_id", F.col("quantity").cast("bigint").alias("product_id"), F.col("created_at").cast("timestamp").alias("created_at"))
+    for batch_id, half in enumerate(("{} % 2 = 0", "true")):
+        users, products = t.users.where(half.format("user_id")), t.products.where(half.format("product_id"))
+        batch = orders.where(f"order_id % 2 = {batch_id}")
+        enrich.add_batch(batch, batch_id, folder, lambda _, users=users: users, lambda _, products=products: products, wait="10000 days")
+    return enrich.enriched_orders(t.spark, folder).select("order_id", "user_id", "product_id", "category", "user_gender")
+
+
 @query(
     "bulk_load",
     f"""WITH {MESSAGES} SELECT 'P' || quantity AS product_id, count(*) AS order_count FROM messages_v

@@ -56,14 +56,16 @@ def start_statistic(
     Customer totals have no window, so they are kept for all customers; the changed rows alone are
     written, and the state belongs in the disk-backed store (``session.build_session``).
     """
-    aggregate, key = statistics.STATISTICS[statistic]
+    aggregate, key, _ = statistics.KEPT[statistic]
     result = aggregate(statistics.with_watermark(orders, late_after), **parameters)
     return start_keyed(result, f"{folder}/{statistic}/rows", f"{folder}/{statistic}/checkpoint", name or statistic, every, key)
 
 
-def read_statistic(spark: SparkSession, statistic: str, folder: str) -> DataFrame:
-    _, key = statistics.STATISTICS[statistic]
-    return sinks.read_keyed(spark, f"{folder}/{statistic}/rows", key)
+def read_statistic(spark: SparkSession, statistic: str, folder: str, **parameters) -> DataFrame:
+    """The statistic as it stands; ``parameters`` are those of the reader, as the width of windows."""
+    _, key, finish = statistics.KEPT[statistic]
+    kept = sinks.read_keyed(spark, f"{folder}/{statistic}/rows", key)
+    return finish(kept, **parameters) if finish else kept
 
 
 def start_all(orders: DataFrame, folder: str, every: str | None = "10 seconds", totals_every: str | None = "5 seconds") -> list[StreamingQuery]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
@@ -48,14 +48,37 @@ def user_totals(orders: DataFrame) -> DataFrame:
     )
 
 
+def abnormal_panes(orders: DataFrame, limit: float = fixed.ABNORMAL_AMOUNT, step: str = "1 minute") -> DataFrame:
+    """Abnormal orders in each pane, a slot as long as windows are apart; what a stream keeps, whatever the windows' width."""
+    panes = orders.where(checks.abnormal_amount(F.col("total_amount"), limit)).groupBy(F.window("created_at", step)).agg(F.count(F.lit(1)).alias("abnormal_orders"))
+    return panes.select(F.col("window.start").alias("pane_start"), "abnormal_orders")
+
+
+def windows_of_panes(panes: DataFrame, width: str = "10 minutes", step: str = "1 minute") -> DataFrame:
+    """Windows that slide by ``step``, each the sum of its panes; ``width`` is a multiple of ``step``."""
+    width, step = F.expr(f"INTERVAL {width}"), F.expr(f"INTERVAL {step}")
+    starts = F.explode(F.sequence(F.col("pane_start") - width + step, F.col("pane_start"), step))  # of a pane, not of an order
+    made = panes.select(starts.alias("window_start"), "abnormal_orders").groupBy("window_start").agg(F.sum("abnormal_orders").alias("abnormal_orders"))
+    return made.select("window_start", (F.col("window_start") + width).alias("window_end"), "abnormal_orders")
+
+
 def abnormal_windows(orders: DataFrame, limit: float = fixed.ABNORMAL_AMOUNT, width: str = "10 minutes", step: str = "1 minute") -> DataFrame:
     """Abnormal orders in a window that slides by ``step``."""
-    return (
-        orders.where(checks.abnormal_amount(F.col("total_amount"), limit))
-        .groupBy(F.window("created_at", width, step))
-        .agg(F.count(F.lit(1)).alias("abnormal_orders"))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "abnormal_orders")
-    )
+    return windows_of_panes(abnormal_panes(orders, limit, step), width, step)
+
+
+def alert_spans(windows: DataFrame, least: int = 1, step: str = "1 minute") -> DataFrame:
+    """One row for each alert: opened with the first window of at least ``least`` orders, closed with the last in an unbroken row.
+
+    Ordered in one task: a row for each minute with an alert, however many orders there are.
+    """
+    in_time = Window.orderBy("window_start")
+    flagged = windows.where(F.col("abnormal_orders") >= least)
+    broken = F.coalesce(F.col("window_start") > F.lag("window_start").over(in_time) + F.expr(f"INTERVAL {step}"), F.lit(True))
+    numbered = flagged.withColumn("_broken", broken.cast("int")).withColumn("_alert", F.sum("_broken").over(in_time))
+    return numbered.groupBy("_alert").agg(
+        F.min("window_start").alias("opened_at"), F.max("window_end").alias("closed_at"),
+        F.max("abnormal_orders").alias("most_orders"), F.count(F.lit(1)).alias("windows")).drop("_alert")
 
 
 # name -> (aggregation, key columns of its result)
@@ -66,3 +89,7 @@ STATISTICS = {
     "user_totals": (user_totals, ["user_id"]),
     "abnormal_windows": (abnormal_windows, ["window_start"]),
 }
+
+# name -> (aggregation that a stream keeps, its key, how a reader makes the statistic of it)
+KEPT = {name: (aggregate, key, None) for name, (aggregate, key) in STATISTICS.items()}
+KEPT["abnormal_windows"] = (abnormal_panes, ["pane_start"], windows_of_panes)
