@@ -219,14 +219,25 @@ def similar_pairs(sets: list[np.ndarray], first: int, threshold: float) -> np.nd
     return found
 
 
+KEY = ["_known", "_id", "_words"]  # whether there is an id, the id, the words
+
+
+def with_key(rows: DataFrame, node: str) -> DataFrame:
+    return rows.withColumns({"_known": F.col("doc_id").isNotNull(), "_id": F.coalesce("doc_id", F.lit(0)), "_words": F.col(node)})
+
+
+def one_text_each(docs: DataFrame) -> DataFrame:
+    """``KEY`` and text, one row for each id and words: rows that repeat both, and those without an id, shrink before the shuffle."""
+    return with_key(with_nodes(docs.select("doc_id", "text")), "_node").groupBy(*KEY).agg(F.any_value("text").alias("text"))
+
+
 def exact_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """For the nodes of each candidate group: node, root, links (documents of other nodes that are similar), blocks."""
     sized = nodes.select("node", "doc_id", "copies", "size").join(groups, "node")
     totals = sized.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"))
     blocks = F.greatest(F.ceil(F.col("_n") / GROUP_BLOCK), F.ceil(F.col("_size") / BLOCK_SHINGLES)).cast("int")
     sized = sized.join(totals, "component").select("component", "node", "doc_id", "copies", blocks.alias("blocks")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    one = sized.withColumnRenamed("doc_id", "_doc")
-    texts = docs.select("doc_id", "text").join(one, F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("doc_id", "_doc")
+    texts = one_text_each(docs).join(with_key(sized, "node").drop("doc_id"), KEY).drop(*KEY)
     keys = ["component", "i", "j"]
     rows = shingle_sets(texts).withColumn("pair", F.explode(block_pairs(F.col("blocks"), F.col("block"))))
     rows = rows.select("component", "pair.i", "pair.j", "block", "blocks", "node", "copies", "shingles")

@@ -16,7 +16,7 @@ from ordermill.llm.columns import slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
 
-KEPT_WORDS = 300_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
+KEPT_WORDS = 100_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
 LONGEST_KEPT = 64  # bytes of a remembered word
 _TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)  # signs after a letter or digit, no apostrophe
 _TAILS = (".", "?!", "$$$", "*_")

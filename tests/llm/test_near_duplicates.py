@@ -121,3 +121,14 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 9)] + [(201, 200), (200, 201)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert all(found[i] == 0 for i in range(41)) and all(found[100 + k] == 100 for k in range(9)) and found[201] == 200 and len(found) == 52
+
+
+def test_documents_without_ids_meet_their_own_words_alone(spark):
+    words = lambda i: " ".join(f"w{i // 2}x{k}" for k in range(40)) + (" tail" if i % 2 else "")
+    docs = spark.createDataFrame([(None, words(i)) for i in range(2000)] + [(7, words(1)), (7, words(2))] + [(None, words(0))] * 500, "doc_id long, text string")
+    sized = N.one_text_each(docs)
+    assert sized.count() == 2002
+    found = N.near_duplicates(docs)
+    assert found.count() == 2502 and found.where("n_links = 0").isEmpty()
+    assert {r["n_links"] for r in found.where("copies > 400").collect()} == {502}
+
