@@ -50,6 +50,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _kept[0][:n], _kept[1][:n]
 
 
+def forget_powers() -> None:
+    _kept.clear()
+
+
 def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts in a row, and where each begins; one more entry has the end."""
     if isinstance(texts, pa.ChunkedArray):

@@ -20,6 +20,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,9 @@ BLOCK = 4096
 WIDTH_SHARE = 0.9
 IDS_PER_FILE = 1 << 23  # a file ends with the document that reaches it
 END_ID = 1
+BLOCKS_READ = 64
+ROWS_READ = 10_000
+FILES_TASKS = 4096  # files are read in so many tasks at most, or as many as run at a time
 _BITS = np.arange(32, dtype=np.uint32)
 
 
@@ -117,25 +121,38 @@ class FileWriter:
         self.sink.close()
 
 
-def read_index(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Documents' ids, which of them are null, numbers of ids, and block starts of a whole file."""
-    if data[:8].tobytes() != MAGIC:
+def read_index(source: pa.NativeFile) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents' ids, which of them are null, numbers of ids, and block starts with the end of the last."""
+    size = source.size()
+    if size < len(MAGIC) + 32 or source.read_at(len(MAGIC), 0) != MAGIC:
         raise ValueError("not a token file")
-    docs, _, blocks, at = (int(x) for x in data[-32:].copy().view("<i8"))
-    edges = np.cumsum([at, 8 * docs, docs, 8 * docs, 8 * blocks])
-    parts = [data[low:high].copy() for low, high in zip(edges, edges[1:], strict=False)]
-    return parts[0].view("<i8"), parts[1].astype(bool), parts[2].view("<i8"), parts[3].view("<i8")
-
-
-def read_documents(data: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
-    """Each document's id and token ids, in order, decoding a block at a time."""
-    docs, null, counts, starts = read_index(data)
-    held, used, block = np.empty(0, "<u4"), 0, 0
+    docs, _, blocks, at = (int(x) for x in np.frombuffer(source.read_at(32, size - 32), "<i8"))
+    edges = np.cumsum([0, 8 * docs, docs, 8 * docs, 8 * blocks])
+    held = source.read_at(int(edges[-1]), at)
+    parts = [held[low:high] for low, high in zip(edges, edges[1:], strict=False)]
+    starts = np.append(np.frombuffer(parts[3], "<i8"), at)
+    return np.frombuffer(parts[0], "<i8"), np.frombuffer(parts[1], bool), np.frombuffer(parts[2], "<i8"), starts
+
+
+def decoded_blocks(source: pa.NativeFile, starts: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of each block, read ``BLOCKS_READ`` at a time."""
+    for low in range(0, len(starts) - 1, BLOCKS_READ):
+        own = starts[low : low + BLOCKS_READ + 1]
+        data = np.frombuffer(source.read_at(int(own[-1] - own[0]), int(own[0])), np.uint8)
+        for at in own[:-1] - own[0]:
+            yield decode_block(data[at:])
+
+
+def read_documents(source: pa.NativeFile) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Each document's id and token ids, in order; holds the index, a run of packed blocks and one document."""
+    docs, null, counts, starts = read_index(source)
+    blocks = decoded_blocks(source, starts)
+    held, used = np.empty(0, "<u4"), 0
     for doc, unknown, n in zip(docs.tolist(), null.tolist(), counts.tolist(), strict=True):
         parts, missing = [], n
         while missing:
             if used == len(held):
-                held, used, block = decode_block(data[starts[block]:]), 0, block + 1
+                held, used = next(blocks), 0
             parts.append(held[used : used + missing])
             used, missing = used + len(parts[-1]), missing - len(parts[-1])
         yield None if unknown else doc, np.concatenate(parts) if len(parts) > 1 else parts[0] if parts else np.empty(0, "<u4")
@@ -188,26 +205,28 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 def read_token_files(files: DataFrame, folder: str) -> DataFrame:
     """One row per document of the listed files: doc_id, start, n_tokens, ids_crc32, and file.
 
-    Spark's binary-file reader hands out whole files, so it reaches any store that Spark does.
+    A task opens its files itself, as the writing tasks did, and reads them block by block; no file is held whole.
     """
+    def rows_of(source: pa.NativeFile, name: str, start: int) -> Iterator[pa.RecordBatch]:
+        documents = read_documents(source)
+        while rows := [(doc, len(ids), zlib.crc32(np.ascontiguousarray(ids))) for doc, ids in islice(documents, ROWS_READ)]:
+            doc_ids, counts, crcs = zip(*rows, strict=True)
+            starts = start + np.cumsum(counts) - np.array(counts)
+            start += sum(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64()),
+                 pa.array([name] * len(rows), pa.string())], ["doc_id", "start", "n_tokens", "ids_crc32", "file"])
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pafs.FileSystem.from_uri(folder if ":/" in folder else f"file://{os.path.abspath(folder)}")
         for batch in batches:
-            for name, start, content in zip(*(batch.column(c) for c in ("file", "start", "content")), strict=True):
-                data = np.frombuffer(content.as_buffer(), np.uint8)
-                rows = [(doc, len(ids), zlib.crc32(np.ascontiguousarray(ids))) for doc, ids in read_documents(data)]
-                doc_ids, counts, crcs = zip(*rows, strict=True)
-                starts = start.as_py() + np.cumsum(counts) - np.array(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64()),
-                     pa.array([name.as_py()] * len(rows), pa.string())], ["doc_id", "start", "n_tokens", "ids_crc32", "file"])
+            for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
+                with system.open_input_file(f"{root}/{name}") as source:
+                    yield from rows_of(source, name, start)
 
     kinds = "doc_id long, start long, n_tokens long, ids_crc32 long, file string"
-    spark = files.sparkSession
-    if files.isEmpty():
-        return spark.createDataFrame([], kinds)
-    held = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfor").load(folder)
-    held = held.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    return held.join(F.broadcast(files.select("file", "start")), "file").mapInArrow(read, kinds)  # a row for each file
+    tasks = min(max(1, files.count()), max(FILES_TASKS, files.sparkSession.sparkContext.defaultParallelism))
+    return files.select("file", "start").repartition(tasks).mapInArrow(read, kinds)
 
 
 def token_rows(docs: DataFrame, tokenizer: str) -> DataFrame:

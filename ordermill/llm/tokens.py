@@ -12,11 +12,11 @@ from string import ascii_lowercase
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from ordermill.llm.columns import slices
+from ordermill.llm.columns import forget_powers, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
 
-KEPT_WORDS = 100_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
+KEPT_WORDS = 300_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
 LONGEST_KEPT = 64  # bytes of a remembered word
 _TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)  # signs after a letter or digit, no apostrophe
 _TAILS = (".", "?!", "$$$", "*_")
@@ -79,6 +79,7 @@ class WordIds(dict):
 
 @lru_cache(1)
 def word_ids(path: str) -> WordIds:
+    forget_powers()  # of an earlier stage in this worker
     return WordIds(path)
 
 
