@@ -17,6 +17,17 @@ def draw32(key: Column, seed: int | str) -> Column:
     return F.coalesce(F.conv(F.substring(digest(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def draw64(key: Column, seed: int | str) -> Column:
+    """Whole number (decimal), uniform in [0, 2**64); a NULL key draws 0."""
+    return F.coalesce(F.conv(F.substring(digest(key, seed), 1, 16), 16, 10).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+
+
+def below(key: Column, total: int, seed: int | str) -> Column:
+    """Whole number, uniform in [0, total), for totals below 10**18: exact, and every number can be drawn up to 2**64 of them."""
+    scaled, whole = draw64(key, seed) * F.lit(total).cast("decimal(18,0)"), F.lit(str(1 << 64)).cast("decimal(20,0)")
+    return ((scaled - scaled % whole) / whole).cast("bigint")  # a whole quotient, so the division is exact
+
+
 def uniform(key: Column, seed: int | str) -> Column:
     """Double, uniform in [0, 1)."""
     return draw32(key, seed) / F.lit(SPAN)

@@ -13,13 +13,17 @@ from ordermill.operators.joins import join_each
 def category_copurchase(orders: DataFrame, min_users: int = 5, k: int = 20) -> DataFrame:
     """Category pairs bought by the same customers, most common first.
 
-    Each customer shrinks to a set of categories, equal sets to one counted row; only then are pairs
-    formed.  Their number depends on how many different sets exist, not on how many customers.
+    A pair has no more customers than either of its categories, so categories with fewer than ``min_users`` go first.
+    What is left of a customer is a set of frequent categories; equal sets become one counted row, and only then are
+    pairs formed.  Their number depends on how many different sets of frequent categories exist.
     """
+    bought = orders.where((F.col("status") == fixed.SUCCESS) & F.col("category").isNotNull() & F.col("user_id").isNotNull()).select("user_id", "category").distinct()
+    frequent = bought.groupBy("category").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_users).select("category")
     sets = (
-        orders.where((F.col("status") == fixed.SUCCESS) & F.col("category").isNotNull() & F.col("user_id").isNotNull())
+        bought.join(frequent, "category", "left_semi")
         .groupBy("user_id")
-        .agg(F.collect_set("category").alias("categories"))
+        .agg(F.collect_list("category").alias("categories"))
+        .where(F.size("categories") > 1)
         .groupBy(F.sort_array("categories").alias("categories"))
         .agg(F.count(F.lit(1)).alias("users"))
     )

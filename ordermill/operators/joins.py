@@ -1,8 +1,9 @@
 """Joins of many rows with keyed tables, safe against keys that hold a large share of the rows.
 
-Three cases, told apart by looking at the data:
-a small table is broadcast, after its size was checked; a large one is joined by key, as Catalyst sees
-fit; and if some keys hold a large share of the rows, their rows are cut into slices first.
+A join is left to Spark: tables small by their bytes are broadcast, others joined by key, and adaptive execution splits
+partitions that a hot key makes large.  No job runs while a query is built.  Who knows that adaptive execution is off, or
+that a hot key is worth a look at the data, asks for it by ``small_rows`` or ``hot_rows``: then a table of few rows is
+broadcast after it was counted, and rows of hot keys are cut into slices.
 """
 
 from __future__ import annotations
@@ -47,9 +48,9 @@ def join_each(
     tables: dict[str, DataFrame],
     how: str = "inner",
     spread_by: list[str] | None = None,
-    small_rows: int = SMALL_ROWS,
+    small_rows: int | None = None,
     pieces: int = PIECES,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` joined with several tables, key column -> table with one row per key.
 
@@ -60,6 +61,11 @@ def join_each(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"rows keep their side in an inner or left join, not in a {how} join")
+    if small_rows is None and hot_rows is None:
+        for key, table in tables.items():
+            rows = rows.join(table, key, how)
+        return rows
+    small_rows, hot_rows = SMALL_ROWS if small_rows is None else small_rows, HOT_ROWS if hot_rows is None else hot_rows
     large = [key for key, table in tables.items() if not is_small(table, small_rows)]
     hot = hot_keys(rows, large, pieces, hot_rows) if large else {}
     joined = rows

@@ -9,6 +9,9 @@ from ordermill.functions import seeded
 from ordermill.operators.joins import join_keyed
 from ordermill.session import settle
 
+LEAF_ITEMS = 1 << 16
+BLOCK_LEAVES = 1 << 12
+
 
 def weighted_sample(items: DataFrame, key: str, weight: str, n: int, seed: int | str = 42) -> DataFrame:
     """n rows without replacement, chosen in proportion to ``weight``."""
@@ -80,6 +83,52 @@ def weighted_draws(
     )
 
 
+def weight_tree(items: DataFrame, key: str, weight: str, leaf_items: int = LEAF_ITEMS) -> tuple[DataFrame, DataFrame, int, int]:
+    """Items and leaves on a line of whole weights: (items, leaves, total, number of leaves).
+
+    Items fall into leaves of about ``leaf_items`` by a hash of their unique key, as many leaves as that takes.  Sums run
+    inside a leaf; leaves' totals inside a block of ``BLOCK_LEAVES``; and only the blocks' totals in one place.
+    Items have ``_leaf``, ``_from`` and ``_to`` in their leaf; leaves ``_low`` and ``_high`` on the line and ``_step``, their mean weight.
+    """
+    positive = settle(items.where(F.col(weight) > 0).select(key, F.col(weight).cast("long").alias("_w")).where("_w > 0"))
+    n, total = positive.agg(F.count(F.lit(1)), F.sum(F.col("_w").cast("decimal(38,0)"))).first()
+    total = int(total or 0)
+    if total >= 10**18:
+        raise ValueError("whole weights must add up to less than 10**18; scale them down")
+    leaves = max(1, -(-n // leaf_items))
+    placed = positive.withColumn("_leaf", F.pmod(seeded.draw32(F.col(key), "order"), F.lit(leaves)))
+    inside = Window.partitionBy("_leaf").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    spans = placed.withColumn("_to", F.sum("_w").over(inside)).select(key, "_leaf", (F.col("_to") - F.col("_w")).alias("_from"), "_to")
+    sums = settle(placed.groupBy("_leaf").agg(F.sum("_w").alias("_sum"), F.count(F.lit(1)).alias("_n")).withColumn("_block", F.expr(f"_leaf div {BLOCK_LEAVES}")))
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sums.groupBy("_block").agg(F.sum("_sum").alias("_all")).select("_block", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
+    in_block = Window.partitionBy("_block").orderBy("_leaf").rowsBetween(Window.unboundedPreceding, 0)
+    high = F.col("_base") + F.sum("_sum").over(in_block)
+    tree = sums.join(blocks, "_block").select("_leaf", (high - F.col("_sum")).alias("_low"), high.alias("_high"), F.expr("(_sum + _n - 1) div _n").alias("_step"))
+    return spans, tree, total, leaves
+
+
+def whole_draws(draws: DataFrame, draw_key: str, items: DataFrame, item_key: str, weight: str, seed: int | str = 42, leaf_items: int = LEAF_ITEMS) -> DataFrame:
+    """For every row of ``draws`` one item, with replacement, in proportion to whole weights (fractions are cut off).
+
+    A draw is a whole number below the total, from 64 bits, and goes down the tree by equi-joins: to its leaf by the leaves'
+    totals, then to its item by the leaf's.  On either level the line is cut into as many equal cells as there
+    are leaves or items; a heavy one is copied to each cell it spans, so it is spread, and draws meet about two
+    candidates.  All sums are whole, so items tile the line exactly and every one can be drawn.
+    """
+    spans, tree, total, leaves = weight_tree(items, item_key, weight, leaf_items)
+    if not total:
+        return draws.where(F.lit(False)).withColumn(item_key, F.lit(None).cast(items.schema[item_key].dataType))
+    width = -(-total // leaves)
+    wide = tree.withColumn("_cell", F.expr(f"explode(sequence(_low div {width}, (_high - 1) div {width}))"))
+    points = draws.withColumn("_point", seeded.below(F.col(draw_key), total, seed)).withColumn("_cell", F.expr(f"_point div {width}"))
+    on_leaf = points.join(wide, "_cell").where((F.col("_point") >= F.col("_low")) & (F.col("_point") < F.col("_high")))
+    on_leaf = on_leaf.select(*draws.columns, "_leaf", F.expr("_point - _low").alias("_rest"), F.expr("(_point - _low) div _step").alias("_cell"))
+    cells = spans.join(tree.select("_leaf", "_step"), "_leaf").withColumn("_cell", F.expr("explode(sequence(_from div _step, (_to - 1) div _step))")).drop("_step")
+    found = on_leaf.join(cells, ["_leaf", "_cell"]).where((F.col("_rest") >= F.col("_from")) & (F.col("_rest") < F.col("_to")))
+    return found.select(*draws.columns, item_key)
+
+
 def choice_table(options: DataFrame, group: str, option: str, weight: str, position: str) -> DataFrame:
     """Option weights of each group as [low, high) shares of 1, in the order of ``position``."""
     so_far = Window.partitionBy(group).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)

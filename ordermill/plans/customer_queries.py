@@ -10,7 +10,8 @@ AS_OF = "2001-08-01"
 LOOKBACK = 730
 SINCE = "1999-08-02"
 RULES = [("VIP", 1_500_000, 6), ("GOLD", 800_000, 4), ("SILVER", 300_000, 2), ("BRONZE", 0, 0)]
-RANK_SQL = "CASE WHEN {a} >= 1500000 AND {n} >= 6 THEN 3 WHEN {a} >= 800000 AND {n} >= 4 THEN 2 WHEN {a} >= 300000 AND {n} >= 2 THEN 1 ELSE 0 END"
+# the thresholds grow together, so a rank is how many are met
+RANK_SQL = "(" + " + ".join(f"({{a}} >= {amount} AND {{n}} >= {n})::INT" for _, amount, n in RULES[:-1]) + ")"
 NAMES_SQL = "['BRONZE', 'SILVER', 'GOLD', 'VIP']"
 
 SPEND = f"""spend AS (
@@ -21,10 +22,9 @@ SPEND = f"""spend AS (
 
 @query(
     "grade_detail",
-    f"""{with_views(ORDERS, SPEND)} SELECT {NAMES_SQL}[rank + 1] AS grade, count(DISTINCT user_id) AS customers,
-        round(count(DISTINCT user_id) * 100.0 / (SELECT count(DISTINCT user_id) FROM orders_v WHERE created_at >= TIMESTAMP '{SINCE}' AND status = 'Success'), 1) AS share,
-        CAST(sum(amount) AS DOUBLE) AS revenue, round(CAST(sum(amount) AS DOUBLE) / count(*), 0) AS revenue_per_customer
-        FROM spend GROUP BY rank""",
+    f"""{with_views(ORDERS, SPEND)}, held AS (SELECT rank, count(user_id) AS customers, CAST(sum(amount) AS DOUBLE) AS revenue FROM spend GROUP BY rank)
+        SELECT {NAMES_SQL}[rank + 1] AS grade, customers, round(customers * 100.0 / sum(customers) OVER (), 1) AS share, revenue,
+        round(revenue / customers, 0) AS revenue_per_customer FROM held""",
 )
 def grade_detail(t: Tables):
     return customers.grade_detail(t.orders, SINCE, RULES)
@@ -50,10 +50,12 @@ query("segment_revenue", f"{SEGMENT_SQL.format(days=30)} SELECT segment, CAST(su
 )
 query(
     "top_fraction_customers",
-    f"""{with_views(ORDERS, USERS)}, totals AS (SELECT u.user_id, u.name, u.email, sum(o.total_amount) AS amount, count(o.order_id) AS orders
-        FROM orders_v o JOIN users_v u USING (user_id) WHERE o.created_at >= TIMESTAMP '1996-01-01' AND o.status = 'Success' GROUP BY 1, 2, 3),
-        ranked AS (SELECT *, percent_rank() OVER (ORDER BY amount DESC) AS p FROM totals)
-        SELECT user_id, name, email, CAST(amount AS DOUBLE) AS revenue, orders FROM ranked WHERE p <= 0.2""",
+    f"""{with_views(ORDERS, USERS)}, totals AS (SELECT user_id, sum(total_amount) AS amount, count(order_id) AS orders FROM orders_v
+        WHERE status = 'Success' AND created_at >= TIMESTAMP '1996-01-01' AND user_id IN (SELECT user_id FROM users_v) GROUP BY user_id),
+        amounts AS (SELECT amount, count(*) AS buyers FROM totals GROUP BY amount),
+        larger AS (SELECT amount, coalesce(sum(buyers) OVER (ORDER BY amount DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM amounts)
+        SELECT user_id, name, email, CAST(amount AS DOUBLE) AS revenue, orders FROM larger JOIN totals USING (amount) JOIN users_v USING (user_id)
+        WHERE above <= 0.2 * ((SELECT count(*) FROM totals) - 1)""",
 )(lambda t: customers.top_fraction_customers(t.orders, t.users, "1996-01-01", 0.2))
 
 UPDATE_SQL = f"""{with_views(ORDERS, USERS)}, recent AS (SELECT user_id, sum(total_amount) AS amount, count(order_id) AS n FROM orders_v
@@ -101,11 +103,10 @@ query(
 # baskets and joined orders
 query(
     "category_copurchase",
-    f"""{with_views(LINES, ORDERS, PRODUCTS)}, uc AS (SELECT DISTINCT o.user_id, p.category FROM lines_v l JOIN orders_v o USING (order_id)
-        JOIN products_v p ON p.product_id = l.product_id WHERE o.status = 'Success')
-        SELECT a.category || ' + ' || b.category AS category_pair, count(DISTINCT a.user_id) AS customers
-        FROM uc a JOIN uc b ON a.user_id = b.user_id AND a.category < b.category
-        GROUP BY a.category, b.category HAVING count(DISTINCT a.user_id) >= 5 ORDER BY 2 DESC, 1 LIMIT 20""",
+    f"""{with_views(LINES, ORDERS, PRODUCTS)}, held AS (SELECT user_id, list_sort(list(DISTINCT category)) AS c FROM lines_v
+        JOIN orders_v USING (order_id) JOIN products_v USING (product_id) WHERE status = 'Success' GROUP BY user_id),
+        pairs AS (SELECT unnest(flatten(list_transform(range(1, len(c)), lambda i: list_transform(c[i + 1:], lambda other: c[i] || ' + ' || other)))) AS category_pair FROM held)
+        SELECT category_pair, count(*) AS customers FROM pairs GROUP BY 1 HAVING customers >= 5 ORDER BY customers DESC, category_pair LIMIT 20""",
 )(lambda t: basket.category_copurchase(t.lines_by_category("user_id", "status")))
 BASKET_SQL = """WITH b AS (SELECT o_custkey, o_orderdate, count(*) AS basket_size FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
     s AS (SELECT basket_size, count(*) AS baskets FROM b GROUP BY 1)"""

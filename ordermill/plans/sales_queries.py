@@ -76,11 +76,12 @@ query(
 
 @query(
     "gender_category_top",
-    f"""{with_views(LINES, ORDERS, USERS, PRODUCTS)} SELECT p.category,
-        count(CASE WHEN u.gender = 'M' THEN 1 END) AS male, count(CASE WHEN u.gender = 'F' THEN 1 END) AS female
-        FROM lines_v l JOIN orders_v o USING (order_id) JOIN users_v u ON u.user_id = o.user_id
-        JOIN products_v p ON p.product_id = l.product_id
-        WHERE o.status = 'Success' GROUP BY 1 ORDER BY male + female DESC, p.category LIMIT 10""",
+    f"""{with_views(LINES, ORDERS, USERS, PRODUCTS)}, sold AS (SELECT product_id, user_id, count(*) AS lines FROM lines_v JOIN orders_v USING (order_id)
+        WHERE status = 'Success' GROUP BY ALL),
+        held AS (SELECT products_v.category, gender, sum(lines)::BIGINT AS lines FROM sold JOIN products_v USING (product_id) JOIN users_v USING (user_id) GROUP BY ALL),
+        sides AS (PIVOT held ON gender IN ('M' AS male, 'F' AS female) USING sum(lines)::BIGINT GROUP BY category)
+        SELECT category, coalesce(male, 0) AS male, coalesce(female, 0) AS female FROM sides
+        ORDER BY coalesce(male, 0) + coalesce(female, 0) DESC, category LIMIT 10""",
 )
 def gender_category_top(t: Tables):
     from ordermill.operators.basket import denormalise_orders

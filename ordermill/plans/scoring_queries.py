@@ -187,6 +187,14 @@ query(
         draws AS (SELECT o_orderkey AS order_id, {u32('o_orderkey')} / 4294967296.0::DOUBLE * (SELECT CAST(sum(balance) AS DOUBLE) FROM w) AS point FROM orders)
         SELECT order_id, user_id FROM draws JOIN w ON point >= CAST(high - balance AS DOUBLE) AND point < CAST(high AS DOUBLE)""",
 )(lambda t: sampling.weighted_draws(t.orders.select("order_id"), "order_id", t.users.select("user_id", "balance"), "user_id", "balance", SEED))
+query(
+    "whole_draws",
+    f"""{with_views(USERS)}, i AS (SELECT user_id, CAST(floor(balance) AS BIGINT) AS w FROM users_v WHERE floor(balance) >= 1),
+        l AS (SELECT user_id, w, {u32('user_id', 'order')} % (SELECT (count(*) + 63) // 64 FROM i) AS leaf FROM i),
+        t AS (SELECT user_id, w, sum(w) OVER (ORDER BY leaf, user_id) AS high FROM l),
+        draws AS (SELECT o_orderkey AS order_id, CAST('0x' || substr(md5(o_orderkey || '|{SEED}'), 1, 16) AS UBIGINT)::HUGEINT * (SELECT sum(w) FROM i)::HUGEINT // 18446744073709551616 AS point FROM orders)
+        SELECT order_id, user_id FROM draws ASOF JOIN (SELECT user_id, high - w AS low FROM t) ON point >= low""",
+)(lambda t: sampling.whole_draws(t.orders.select("order_id"), "order_id", t.users.select("user_id", "balance"), "user_id", "balance", SEED, 64))
 CHOICES = "choices(class, method, low, high) AS (VALUES " + ", ".join(
     f"('{group}', '{method}', {sum(w for g, _, w in fixed.PAYMENT_CHOICE[:i] if g == group)}.0::DOUBLE / 100.0::DOUBLE, "
     f"{sum(w for g, _, w in fixed.PAYMENT_CHOICE[:i + 1] if g == group)}.0::DOUBLE / 100.0::DOUBLE)"

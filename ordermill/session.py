@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +56,18 @@ def settle(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to Python workers that do not have it on their path, once per Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_ordermill_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ordermill-"), "ordermill.zip")  # on the driver alone, from where Spark serves it
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    with zipfile.ZipFile(archive, "w") as held:
+        for file in sorted(package.rglob("*.py")):
+            held.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._ordermill_shipped = True

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.session import ship_package
 from ordermill.sources.versions import Part, VersionedTable
 
 BITS = 24
@@ -80,6 +81,7 @@ class KnownIds:
 
     def __init__(self, table: VersionedTable, key: str):
         self.table, self.key, self.spark = table, key, table.spark
+        ship_package(self.spark)
 
     def index(self, part: Part) -> None:
         """Write the part's ids by hash, and their filters."""

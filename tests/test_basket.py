@@ -69,3 +69,24 @@ def test_amounts_and_derivations(spark):
     )
     got = [(r["discount_rate"], r["is_best"], r["price_floor"]) for r in basket.product_derivations(products).collect()]
     assert got == [(0.2, "Y", 1000), (0.0, "N", 1000), (0.0, "N", 1000), (0.0, "Y", 100)]
+
+
+def test_copurchase_of_very_many_categories_forms_pairs_of_frequent_ones_alone(spark, rows):
+    import random
+
+    rng = random.Random(5)
+    bought = {f"u{i}": {f"rare{rng.randrange(50_000)}" for _ in range(150)} | set(rng.sample(["A", "B", "C", "D"], 2)) for i in range(300)}
+    bought["all"] = {f"rare{k}" for k in range(50_000)} | {"A", "B"}
+    data = [(u, c, "Success") for u, cs in bought.items() for c in cs]
+    orders = spark.createDataFrame(data, "user_id string, category string, status string").repartition(4)
+    support = {}
+    for cs in bought.values():
+        for c in cs:
+            support[c] = support.get(c, 0) + 1
+    frequent, want = {c for c, n in support.items() if n >= 8}, {}
+    for cs in bought.values():
+        held = sorted(cs & frequent)
+        for i, a in enumerate(held):
+            for b in held[i + 1 :]:
+                want[f"{a} + {b}"] = want.get(f"{a} + {b}", 0) + 1
+    assert rows(basket.category_copurchase(orders, min_users=8, k=1000)) == sorted(((p, n) for p, n in want.items() if n >= 8), key=repr)

@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 from ordermill import fixed_values as fixed
 from ordermill.functions import grades as g
 from ordermill.operators import customers, grades
+from ordermill.streaming import grade_runs
 from pyspark.sql import functions as F
 
 ORDERS = "order_id int, user_id string, created_at timestamp_ntz, total_amount decimal(18,2), status string"
@@ -91,3 +92,25 @@ def test_segments(spark):
     )
     got = {r["segment"]: r["customers"] for r in customers.segment_distribution(orders, now).collect()}
     assert got == {fixed.SEGMENT_VIP: 1, fixed.SEGMENT_REGULAR: 1, fixed.SEGMENT_DORMANT: 1}
+
+
+def test_runs_that_read_changes_alone_equal_the_full_history(spark, tmp_path):
+    rng = random.Random(6)
+    rules = [("VIP", 500, 6), ("GOLD", 300, 4), ("SILVER", 100, 2), ("BRONZE", 0, 0)]
+    users = [(f"u{i}", rng.choice(["BRONZE", "SILVER", "GOLD", "VIP", "?"])) for i in range(40)]
+    orders = [
+        (i, f"u{rng.randrange(43)}" if i % 50 else None, datetime(2024, 12, 10) + timedelta(hours=rng.randrange(24 * 70)), rng.randrange(1, 150), rng.choice(["Success", "Success", "Cancelled"]))
+        for i in range(700)
+    ]
+    runs = [*grades.run_calendar(date(2025, 1, 1), date(2025, 2, 5), 7), date(2025, 3, 20), date(2025, 3, 27)]  # two on one day, a long gap, no orders
+    users_df = spark.createDataFrame(users, "user_id string, grade string")
+    orders_df = spark.createDataFrame(orders, ORDERS.replace("decimal(18,2)", "int")).withColumn("total_amount", F.col("total_amount").cast("decimal(18,2)"))
+    full = {(r["user_id"], r["run"]): r["grade"] for r in grades.grade_history(users_df, orders_df, runs, 30, rules).collect()}
+    kept = grade_runs.GradeRuns(spark, str(tmp_path / "runs"), 30, rules)
+    kept.start(users_df)
+    for number, day in enumerate(runs):
+        for _ in range(2 if number in (2, 5) else 1):  # repeated runs
+            kept.run(orders_df, number, day, runs[number - 1] if number else None)
+        assert {r["user_id"]: r["grade"] for r in kept.grades_after(number).collect()} == {u: full[u, number + 1] for u, _ in users}
+    touched = kept.touched(orders_df, len(runs), date(2025, 4, 3), runs[-1]).count()  # all has left the window: who is demoted still
+    assert touched == sum(full[u, len(runs)] != "BRONZE" for u, _ in users) < len(users)

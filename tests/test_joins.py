@@ -48,3 +48,31 @@ def test_size_check(spark):
     assert joins.is_small(spark.range(10), 10)
     assert not joins.is_small(spark.range(11), 10)
     assert joins.is_small(spark.range(0), 0)
+
+
+def test_no_job_runs_while_a_join_is_built(spark, skewed, rows):
+    fact, table = skewed
+    spark.sparkContext.setJobGroup("built", "joins")
+    try:
+        joined = [joins.join_keyed(fact, table, "key", how) for how in ("inner", "left")]
+        joined.append(joins.join_each(fact, {"key": table}, spread_by=["id"]))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("built")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(joined[0].select("id", "value")) == rows(fact.join(table, "key").select("id", "value"))
+
+
+def test_a_hot_key_s_partition_is_split_at_run_time(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.adaptive.skewJoin.skewedPartitionFactor"]
+    before = {n: spark.conf.get(n) for n in names}
+    for name, value in zip(names, ["-1", "16k", "16k", "false", "1.5"]):
+        spark.conf.set(name, value)
+    try:
+        fact = spark.range(0, 60_000, 1, 8).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 5000 END AS key")
+        joined = joins.join_keyed(fact, spark.range(5000).selectExpr("id AS key", "id * 2 AS value"), "key")
+        assert joined.count() == 60_000
+        joined._jdf.collectToPython()
+        assert "skewed" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -66,3 +66,34 @@ def test_categorical_assign(spark):
     assert by_group["a"] == expected
     without = sampling.categorical_assign(data, "id", choices, "grp", "opt", seed=1).where("grp = 'zz'")
     assert without.where("opt IS NULL").count() == 200
+
+
+@pytest.mark.parametrize("leaf_items,block", [(1 << 16, 4096), (10, 4096), (3, 4)])
+def test_whole_draws_equal_brute_force(spark, items, monkeypatch, leaf_items, block):
+    monkeypatch.setattr(sampling, "BLOCK_LEAVES", block)
+    data, df = items
+    draws = spark.range(700).selectExpr("id AS draw", "id * 2 AS other")
+    got = {r["draw"]: r["item"] for r in sampling.whole_draws(draws, "draw", df, "item", "w", 5, leaf_items).collect()}
+    weights = [(i, w) for i, w in data if w]
+    leaves = -(-len(weights) // leaf_items)
+    order = sorted((u32(i, "order") % leaves, i, w) for i, w in weights)
+    edges = list(accumulate(w for _, _, w in order))
+    u64 = lambda key: int(hashlib.md5(f"{key}|5".encode()).hexdigest()[:16], 16)
+    assert got == {d: order[bisect.bisect_right(edges, u64(d) * edges[-1] >> 64)][1] for d in range(700)}
+
+
+def test_the_lightest_of_very_many_can_be_drawn(spark):
+    """Points of 64 bits reach each of 2**33 weights, also ones of 1 beside a total near 10**18."""
+    total = 10**18 - 7
+    for point in (0, 1, 2**33 + 1, total // 3, total - 1):
+        least = -(-point * 2**64 // total)  # the smallest number that is drawn to this point
+        assert least < 2**64 and least * total >> 64 == point
+    heavy = spark.createDataFrame([(i, 2**49 if i % 2 else 1) for i in range(64)], "item int, w long")
+    spans, tree, whole, _ = sampling.weight_tree(heavy, "item", "w", 4)
+    assert whole == 32 * 2**49 + 32
+    edges = sorted((r["_low"] + r["_from"], r["_low"] + r["_to"]) for r in spans.join(tree, "_leaf").collect())
+    assert edges[0][0] == 0 and edges[-1][1] == whole and all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+    assert sampling.whole_draws(spark.range(500).withColumnRenamed("id", "d"), "d", heavy, "item", "w", 1, 4).count() == 500
+    assert sampling.whole_draws(spark.range(5).withColumnRenamed("id", "d"), "d", heavy.where("w = 0"), "item", "w").count() == 0
+    with pytest.raises(ValueError):
+        sampling.weight_tree(spark.createDataFrame([(1, 10**18)], "item int, w long"), "item", "w")
