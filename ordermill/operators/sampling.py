@@ -100,8 +100,9 @@ def weight_tree(items: DataFrame, key: str, weight: str, leaf_items: int = LEAF_
     inside = Window.partitionBy("_leaf").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     spans = placed.withColumn("_to", F.sum("_w").over(inside)).select(key, "_leaf", (F.col("_to") - F.col("_w")).alias("_from"), "_to")
     sums = settle(placed.groupBy("_leaf").agg(F.sum("_w").alias("_sum"), F.count(F.lit(1)).alias("_n")).withColumn("_block", F.expr(f"_leaf div {BLOCK_LEAVES}")))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = sums.groupBy("_block").agg(F.sum("_sum").alias("_all")).select("_block", F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
+    every = sums.groupBy("_block").agg(F.sum("_sum").alias("_all")).agg(F.collect_list(F.struct("_block", "_all")).alias("every"))
+    base = lambda x: F.aggregate(F.filter("every", lambda y: y["_block"] < x["_block"]), F.lit(0).cast("long"), lambda total, y: total + y["_all"])
+    blocks = every.select(F.explode(F.transform("every", lambda x: F.struct(x["_block"].alias("_block"), base(x).alias("_base")))).alias("b")).select("b.*")
     in_block = Window.partitionBy("_block").orderBy("_leaf").rowsBetween(Window.unboundedPreceding, 0)
     high = F.col("_base") + F.sum("_sum").over(in_block)
     tree = sums.join(blocks, "_block").select("_leaf", (high - F.col("_sum")).alias("_low"), high.alias("_high"), F.expr("(_sum + _n - 1) div _n").alias("_step"))

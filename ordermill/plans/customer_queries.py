@@ -1,10 +1,14 @@
 """Customer, grade, basket, ingestion and pool queries on the test tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ordermill.operators import basket, customers, grades, ingest, pools
 from ordermill.plans.bindings import LINE_IDENTITY, LINES, ORDERS, PRODUCTS, USERS, Tables, u32, with_views
 from ordermill.plans.registry import query
+from ordermill.session import shared_folder
+from ordermill.streaming.grade_runs import GradeRuns
 
 AS_OF = "2001-08-01"
 LOOKBACK = 730
@@ -79,8 +83,9 @@ query(
 )(lambda t: grades.grade_update_stats(updated(t), RULES))
 
 RUNS = grades.run_calendar("1996-06-01", AS_OF, 90)
-RUNS_SQL = "runs(run, d) AS (VALUES " + ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(RUNS)) + ")"
-HISTORY_SQL = f"""WITH RECURSIVE {ORDERS}, {USERS}, {RUNS_SQL},
+def history_sql(runs: list) -> str:
+    days = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(runs))
+    return f"""WITH RECURSIVE {ORDERS}, {USERS}, runs(run, d) AS (VALUES {days}),
     spend AS (SELECT user_id, run, sum(total_amount) AS amount, count(order_id) AS n FROM orders_v JOIN runs
       ON created_at >= d - INTERVAL 365 DAYS AND created_at < d + INTERVAL 1 DAY WHERE status = 'Success' GROUP BY 1, 2),
     grid AS (SELECT u.user_id, r.run, r.d, {RANK_SQL.format(a='coalesce(amount, 0)', n='coalesce(n, 0)')} AS target
@@ -90,6 +95,10 @@ HISTORY_SQL = f"""WITH RECURSIVE {ORDERS}, {USERS}, {RUNS_SQL},
       FROM path p JOIN grid g ON g.user_id = p.user_id AND g.run = p.run + 1)"""
 
 
+HISTORY_SQL = history_sql(RUNS)
+LAST_RUNS = RUNS[-3:]
+
+
 def history(t: Tables):
     return grades.grade_history(t.users, t.orders, RUNS, 365, RULES)
 
@@ -100,6 +109,17 @@ query(
     f"{HISTORY_SQL} SELECT d AS run_date, {NAMES_SQL}[rank + 1] AS grade, count(*) AS customers FROM path WHERE run >= 0 GROUP BY 1, 2",
 )(lambda t: history(t).groupBy("run_date", "grade").agg(F.count(F.lit(1)).alias("customers")))
 
+
+@query("grade_runs", f"{history_sql(LAST_RUNS)} SELECT user_id, {NAMES_SQL}[rank + 1] AS grade FROM path WHERE run = {len(LAST_RUNS) - 1}")
+def grade_runs(t: Tables):
+    """The grades after some runs, each reading what changed since the last."""
+    kept = GradeRuns(t.spark, f"{shared_folder(t.spark)}/runs/{uuid.uuid4().hex}", 365, RULES)
+    kept.start(t.users)
+    for number, day in enumerate(LAST_RUNS):
+        kept.run(t.orders, number, day, LAST_RUNS[number - 1] if number else None)
+    return kept.grades_after(len(LAST_RUNS) - 1)
+
+
 # baskets and joined orders
 query(
     "category_copurchase",

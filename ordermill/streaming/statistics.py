@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill import fixed_values as fixed
@@ -70,15 +70,11 @@ def abnormal_windows(orders: DataFrame, limit: float = fixed.ABNORMAL_AMOUNT, wi
 def alert_spans(windows: DataFrame, least: int = 1, step: str = "1 minute") -> DataFrame:
     """One row for each alert: opened with the first window of at least ``least`` orders, closed with the last in an unbroken row.
 
-    Ordered in one task: a row for each minute with an alert, however many orders there are.
+    An alert is a session of windows ``step`` apart, so it opens and closes once, on a stream of windows too.
     """
-    in_time = Window.orderBy("window_start")
-    flagged = windows.where(F.col("abnormal_orders") >= least)
-    broken = F.coalesce(F.col("window_start") > F.lag("window_start").over(in_time) + F.expr(f"INTERVAL {step}"), F.lit(True))
-    numbered = flagged.withColumn("_broken", broken.cast("int")).withColumn("_alert", F.sum("_broken").over(in_time))
-    return numbered.groupBy("_alert").agg(
-        F.min("window_start").alias("opened_at"), F.max("window_end").alias("closed_at"),
-        F.max("abnormal_orders").alias("most_orders"), F.count(F.lit(1)).alias("windows")).drop("_alert")
+    busy = windows.where(F.col("abnormal_orders") >= least).groupBy(F.session_window("window_start", step).alias("alert"))
+    found = busy.agg(F.max("window_end").alias("closed_at"), F.max("abnormal_orders").alias("most_orders"), F.count(F.lit(1)).alias("windows"))
+    return found.select(F.col("alert.start").alias("opened_at"), "closed_at", "most_orders", "windows")
 
 
 # name -> (aggregation, key columns of its result)
