@@ -4,10 +4,11 @@ A line is the set of its words; lines of equal sets are one node.  A word's rank
 table occurs in all lines, then its hash: one order for all lines that puts rare words first.  Two sets of a
 Jaccard similarity of at least t share a word among the first ``n - ceil(t n) + 1`` of each, so lines meet at these
 words.  There, lengths, the place of the word and a 128-bit map of each set's words (words that just one of two maps has
-are in just one of the sets) drop pairs that cannot reach t, and never others.  What is left spans candidate groups, in which
-Jaccard is computed exactly.  A line goes if an earlier one, by document id and line number, is similar.
+are in just one of the sets) drop pairs that cannot reach t, and never others.  The lines that are left at a word form
+teams, and a team met at several words is verified once: pairs by a map of 512 bits, then by exact Jaccard, until a line has an
+earlier similar one.  A line goes if an earlier one, by document id and line number, is similar.
 
-No step emits the pairs of a group: a word gives each line's root, a group each line's verdict, and groups beyond a
+No step emits the pairs of a group: a word gives each line's team, a team each line's verdict, and groups beyond a
 task's share are cut into blocks, of which a task compares two.
 """
 
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import as_list, mix, slices, utf8, word_hashes, words
-from ordermill.llm.components import Forest, connected_components
-from ordermill.llm.near_duplicates import _group_ids, _runs, block_pairs, similar_pairs
+from ordermill.llm.components import Forest
+from ordermill.llm.near_duplicates import _group_ids, _runs, block_pairs
 from ordermill.llm.storage import new_folder, read_arrow, settle_at, settle_table
 
 THRESHOLD = 0.8
@@ -33,6 +34,7 @@ SPAN_ROWS = 1 << 16
 SLOTS = 1 << 24  # of the set of wanted documents; its size is fixed, documents that share a slot pass together
 GROUP_BLOCK = 2048  # lines of a candidate group in a block; a line is sent once for every block of its group
 BLOCK_WORDS = 1 << 20
+PART_WORDS = 1 << 21  # words that a task compares or sends at a time, but for a larger group
 _U = np.uint64
 
 
@@ -168,10 +170,11 @@ def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
-    """src and dst of stars that span, at every word, the lines whose pairs pass the filters.
+def candidate_groups(nodes: DataFrame, threshold: float) -> DataFrame:
+    """node, team and blocks: the lines that pairs passing the filters connect at one word are a team, named by its members.
 
-    Only words that may have more than ``WORD_BLOCK`` lines are counted, to cut their lines into blocks.
+    A team met at several words is one.  Only words that may have more than ``WORD_BLOCK`` lines are counted, to cut their
+    lines into blocks, so a team has at most two blocks of lines.
     """
     rows = nodes.select("node", "size", "skip", "cold", "map0", "map1", F.posexplode("prefix").alias("at", "word"))
     rows = rows.select("word", "node", "size", (F.col("skip") + F.col("at")).alias("place"), "map0", "map1", (F.col("at") < F.col("cold")).alias("cold"))
@@ -208,10 +211,15 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
                     forest.join(at[met], to[met])
                 ahead += 1
             roots = forest.roots()
-            tied = node != node[roots]
-            yield pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(node[roots[tied]])], ["src", "dst"])
+            members = np.bincount(roots, minlength=len(node))
+            team, total = np.zeros(len(node), np.uint64), np.bincount(roots, size, len(node))
+            np.add.at(team, roots, mix(node.view(np.uint64)))
+            blocks = np.ceil(np.maximum(members / GROUP_BLOCK, total / BLOCK_WORDS)).astype(np.int32)
+            tied = members[roots] > 1
+            own = roots[tied]
+            yield pa.RecordBatch.from_arrays([pa.array(node[tied]), pa.array(mix(team[own]).view(np.int64)), pa.array(blocks[own])], ["node", "team", "blocks"])
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "size", "node").mapInArrow(span, "src long, dst long").distinct()
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "size", "node").mapInArrow(span, "node long, team long, blocks int").distinct()
 
 
 @lru_cache(1)
@@ -239,14 +247,71 @@ def maybe_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(passing, rows.drop("_slot").schema)
 
 
+def _parts(batch: pa.RecordBatch, group: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+    """Rows of whole groups with about ``PART_WORDS`` words."""
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+    upto = np.concatenate([[0], np.cumsum(sizes)])[edges]
+    low = 0
+    while low < len(edges) - 1:
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] + PART_WORDS, "right")) - 1)
+        yield slice(int(edges[low]), int(edges[high]))
+        low = high
+
+
+def common_words(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, kinds: int) -> np.ndarray:
+    """How many words the rows ``left`` and ``right`` share; ``words`` are sorted numbers below ``kinds`` in each row."""
+    placed = np.repeat(np.arange(len(sizes)), sizes) * kinds + words
+    common = np.zeros(len(left), np.int64)
+    edges = np.cumsum(sizes[left]) // PART_WORDS
+    for k in range(int(edges[-1]) + 1 if len(edges) else 0):
+        own = np.flatnonzero(edges == k)
+        n = sizes[left[own]]
+        pair = np.repeat(np.arange(len(own)), n)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + starts[left[own]][pair]
+        wanted = right[own][pair] * kinds + words[at]
+        held = np.searchsorted(placed, wanted)
+        common[own] = np.bincount(pair, placed[np.minimum(held, len(placed) - 1)] == wanted, len(own)).astype(np.int64)
+    return common
+
+
+def late_rows(group: np.ndarray, node: np.ndarray, turn: np.ndarray, apart: np.ndarray, flat: np.ndarray, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """The nodes with a similar one of an earlier turn in one of their groups.
+
+    Rows of a group come by size.  Rows a step apart are compared for growing steps: a wide map of the words decides first, then
+    the words themselves.  A node that has its similar earlier one is not asked again, in any group.
+    """
+    kinds, words = np.unique(flat, return_inverse=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    bit = mix(kinds.view(np.uint64))[words] >> _U(55)
+    maps = np.zeros((len(sizes), 8), np.uint64)
+    np.bitwise_or.at(maps, (row, (bit >> _U(6)).astype(np.int64)), _U(1) << (bit & _U(63)))
+    words = words[np.lexsort((words, row))]
+    names, own = np.unique(node, return_inverse=True)
+    late = np.zeros(len(names), bool)
+    at, ahead = np.arange(len(node)), 1
+    while len(at):
+        at = at[at + ahead < len(node)]
+        at = at[(group[at] == group[at + ahead]) & (sizes[at] >= threshold * sizes[at + ahead] - 1e-9)]
+        to = at + ahead
+        later = np.where(turn[at] > turn[to], own[at], own[to])
+        asked = ~late[later] & (apart[at] != apart[to]) & (node[at] != node[to])
+        left, right, later = at[asked], to[asked], later[asked]
+        most = sizes[left] + sizes[right] - 2 * np.ceil(threshold / (1 + threshold) * (sizes[left] + sizes[right]) - 1e-9)
+        near = np.bitwise_count(maps[left] ^ maps[right]).sum(1) <= most
+        left, right, later = left[near], right[near], later[near]
+        if len(left):
+            common = common_words(words, starts, sizes, left, right, len(kinds))
+            similar = common >= threshold * (sizes[left] + sizes[right] - common) - 1e-9
+            late[later[similar]] = True
+        ahead += 1
+    return names[late]
+
+
 def later_nodes(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """The nodes of candidate groups of which an earlier one is similar."""
-    sized = nodes.join(groups, "node")
-    totals = sized.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"))
-    blocks = F.greatest(F.ceil(F.col("_n") / GROUP_BLOCK), F.ceil(F.col("_size") / BLOCK_WORDS)).cast("int")
-    sized = sized.join(totals, "component").withColumn("blocks", blocks)
-    wanted = sized.groupBy("first.doc_id", "first.text_hash").agg(F.collect_list(F.struct(  # the lines of one document
-        F.col("first.line").alias("line"), "node", "component", "blocks")).alias("wanted")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text"})
+    """The nodes of candidate groups (node, team, blocks) of which an earlier one is similar."""
+    wanted = nodes.join(groups, "node").groupBy("first.doc_id", "first.text_hash").agg(F.collect_list(F.struct(  # the lines of one document
+        F.col("first.line").alias("line"), "node", "team", "blocks")).alias("wanted")).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text"})
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_text"))
     wanted = settle_table(wanted, "wanted-lines")
     texts = maybe_wanted(docs, wanted).join(wanted, same).select("doc_id", "text_hash", "text", "wanted")
@@ -259,49 +324,37 @@ def later_nodes(docs: DataFrame, nodes: DataFrame, groups: DataFrame, threshold:
                 first = np.cumsum(sets.per_text) - sets.per_text
                 held = some.column("wanted")
                 text = np.repeat(np.arange(some.num_rows), held.value_lengths().to_numpy())
-                line, node, component, blocks_ = (held.flatten().field(c).to_numpy() for c in ("line", "node", "component", "blocks"))
+                line, node, team, blocks = (held.flatten().field(c).to_numpy() for c in ("line", "node", "team", "blocks"))
                 at = first[text] + line
-                chosen = [sets.words[sets.ends[k] - sets.sizes[k] : sets.ends[k]] for k in at]
-                flat = np.concatenate(chosen) if chosen else np.empty(0, np.uint64)
-                index = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").take(index), some.column("text_hash").take(index), pa.array(line), pa.array(node), pa.array(component), pa.array(blocks_),
-                     as_list(flat.view(np.int64), sets.sizes[at], pa.int64())], ["doc_id", "text_hash", "line", "node", "component", "blocks", "words"])
-
-    rows = texts.mapInArrow(gather, "doc_id long, text_hash long, line int, node long, component long, blocks int, words array<long>")
+                edges = [0, *(np.flatnonzero(np.cumsum(sets.sizes[at])[1:] // PART_WORDS != np.cumsum(sets.sizes[at])[:-1] // PART_WORDS) + 1), len(at)]
+                for low, high in zip(edges, edges[1:], strict=False):
+                    chosen = [sets.words[sets.ends[k] - sets.sizes[k] : sets.ends[k]] for k in at[low:high]]
+                    flat = np.concatenate(chosen) if chosen else np.empty(0, np.uint64)
+                    index, part = pa.array(text[low:high]), slice(low, high)
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column("doc_id").take(index), some.column("text_hash").take(index), pa.array(line[part]), pa.array(node[part]), pa.array(team[part]), pa.array(blocks[part]),
+                         as_list(flat.view(np.int64), sets.sizes[at[part]], pa.int64())], ["doc_id", "text_hash", "line", "node", "team", "blocks", "words"])
+
+    rows = texts.mapInArrow(gather, "doc_id long, text_hash long, line int, node long, team long, blocks int, words array<long>")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("pair", F.explode(block_pairs(F.col("blocks"), F.col("block"))))
-    rows = rows.select("component", "pair.i", "pair.j", "block", "node", "doc_id", "text_hash", "line", "words")
-    keys = ["component", "i", "j"]
+    rows = rows.select("team", "pair.i", "pair.j", "block", F.size("words").alias("size"), "node", "doc_id", "text_hash", "line", "words")
+    keys = ["team", "i", "j"]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _runs(batches, keys):
             group = _group_ids(batch, keys)
-            node, block, text, line = (batch.column(c).to_numpy() for c in ("node", "block", "text_hash", "line"))
+            node, block, text, line, size = (batch.column(c).to_numpy() for c in ("node", "block", "text_hash", "line", "size"))
             ids = batch.column("doc_id")
-            doc, unknown = ids.fill_null(0).to_numpy(), np.asarray(ids.is_null())
-            across = batch.column("i").to_numpy() != batch.column("j").to_numpy()
-            held = batch.column("words")
-            flat, ends = held.flatten().to_numpy(), np.cumsum(held.value_lengths().to_numpy())
-            late = []
-            edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(group)]
-            for low, high in zip(edges, edges[1:], strict=False):
-                own = np.arange(low, high)
-                own = own[np.concatenate([[True], node[own][1:] != node[own][:-1]])]
-                first = int((block[own] == block[own[0]]).sum()) if across[low] else len(own)
-                if len(own) < 2 or across[low] and first == len(own):
-                    continue
-                found = similar_pairs([flat[(ends[k - 1] if k else 0):ends[k]] for k in own], first, threshold)
-                turn = np.empty(len(own), np.int64)
-                turn[np.lexsort((line[own], text[own], doc[own], ~unknown[own]))] = np.arange(len(own))
-                left, right = turn[:first], turn[first:] if across[low] else turn
-                later = np.zeros(len(own), bool)
-                later[:first] = (found & (right[None, :] < left[:, None])).any(1)
-                if across[low]:
-                    later[first:] = (found & (left[:, None] < right[None, :])).any(0)
-                late.append(node[own[later]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(late) if late else np.empty(0, np.int64))], ["node"])
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys, "block", "node").mapInArrow(verify, "node long").distinct()
+            turn = np.empty(len(node), np.int64)
+            turn[np.lexsort((line, text, ids.fill_null(0).to_numpy(), ~np.asarray(ids.is_null())))] = np.arange(len(node))
+            # in a pair of blocks, rows of one block are not compared; within a block all rows are
+            apart = np.where(batch.column("i").to_numpy() != batch.column("j").to_numpy(), block, np.arange(len(node)) + (1 << 32))
+            for part in _parts(batch, group, size):
+                flat = batch.column("words").slice(part.start, part.stop - part.start).flatten().to_numpy()
+                late = late_rows(group[part], node[part], turn[part], apart[part], flat, size[part].astype(np.int64), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(late)], ["node"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "size", "node").mapInArrow(verify, "node long").distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -319,8 +372,8 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     found = settle_table(line_rows(named.drop("_none"), folder, threshold), "lines")
     least = found.groupBy("node").agg(F.min(F.struct(*place, "size", "skip", "cold", "map0", "map1", "prefix")).alias("least"))
     nodes = settle_table(least.select("node", F.struct(*(f"least.{c}" for c in place)).alias("first"), *(f"least.{c}" for c in ("size", "skip", "cold", "map0", "map1", "prefix"))), "line-nodes")
-    edges = settle_table(candidate_edges(nodes, threshold), "stars")
-    late = later_nodes(named.drop("_none"), nodes.select("node", "first", "size"), connected_components(edges), threshold)
+    groups = settle_table(candidate_groups(nodes, threshold), "teams")
+    late = later_nodes(named.drop("_none"), nodes.select("node", "first"), groups, threshold)
     firsts = nodes.join(late.withColumn("late", F.lit(True)), "node", "left").select("node", "first", F.coalesce("late", F.lit(False)).alias("late"))
     here = F.struct(*place)
     gone = found.join(firsts, "node").where(F.col("late") | ~here.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "line")
