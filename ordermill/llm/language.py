@@ -16,14 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import SLICE_BYTES, slices, utf8
 
 ORDER = 4
 TEXTS_PER_LANGUAGE = 300  # the sample: so many texts at most of each language, chosen by a hash
-BYTES_PER_LANGUAGE = 6_000_000  # shared evenly by a language's texts in the sample; a longer text gives its beginning
+BYTES_PER_LANGUAGE = 6_000_000  # shared evenly by a language's texts in the sample; a longer text gives windows from all of it
+WINDOW_CHARS = 500
 EVIDENCE_BYTES = 64  # the score weighs the languages as if the text had at most so many bytes
 UNKNOWN = "und"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -144,13 +145,28 @@ class Model:
         return bits
 
 
+def windows(text: Column, most: Column, seed: Column) -> Column:
+    """The text, or about ``most`` bytes of a longer one: a window from each of equal stretches of the whole text, placed by a hash."""
+    chars, size = F.char_length(text), F.octet_length(text)
+    take = F.greatest(F.lit(1), F.floor(most * chars / size)).cast("long")
+    pieces = F.ceil(take / WINDOW_CHARS).cast("int")
+
+    def piece(k: Column) -> Column:
+        length = F.least(F.lit(WINDOW_CHARS).cast("long"), take - k * WINDOW_CHARS)
+        share = F.pmod(F.xxhash64(seed, k), F.lit(1 << 20)) / (1 << 20)
+        start = F.floor(k * chars / pieces + share * F.greatest(F.lit(0), chars / pieces - length)).cast("long")
+        return F.substring(text, F.least(start, chars - length).cast("int") + 1, length.cast("int"))
+
+    return F.when(size <= most, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), pieces - 1), piece), ""))
+
+
 def fit(labelled: DataFrame) -> Model | None:
     """Count the sample of ``labelled`` (doc_id, text, lang); None without any labelled text.
 
     No label is left out for the length of its texts: the driver gets at most ``TEXTS_PER_LANGUAGE`` texts of each
-    language, and of each text about its even share of ``BYTES_PER_LANGUAGE`` at most, from the beginning; only empty
+    language, and of each text about its even share of ``BYTES_PER_LANGUAGE`` at most, as windows; only empty
     texts teach nothing.  Languages are thinned by a hash before they are ranked, so that no task ranks all texts of a
-    frequent one, and only the beginnings are ranked.
+    frequent one, and only the windows are ranked.
     """
     rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND octet_length(text) > 0")
     counts = rows.groupBy("lang").count().collect()  # one row for each language
@@ -160,8 +176,7 @@ def fit(labelled: DataFrame) -> Model | None:
     limits = [(r["lang"], int(full * min(1.0, 4 * TEXTS_PER_LANGUAGE / r["count"])), BYTES_PER_LANGUAGE // min(TEXTS_PER_LANGUAGE, r["count"])) for r in counts]
     shares = spark.createDataFrame(limits, "lang string, share long, most long")
     chosen = rows.withColumn("_h", F.pmod(F.xxhash64("doc_id", "text"), F.lit(full))).join(F.broadcast(shares), "lang").where("_h < share")
-    beginning = F.expr("CASE WHEN octet_length(text) <= most THEN text ELSE left(text, CAST(greatest(1, floor(most * char_length(text) / octet_length(text))) AS INT)) END")
-    chosen = chosen.select("lang", "_h", "doc_id", beginning.alias("text"))
+    chosen = chosen.select("lang", "_h", "doc_id", windows(F.col("text"), F.col("most"), F.col("_h")).alias("text"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
     samples: dict[str, list[str]] = {}
     for r in chosen.withColumn("_n", first).where(F.col("_n") <= TEXTS_PER_LANGUAGE).select("lang", "text").collect():

@@ -7,6 +7,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import DATA
 from llm_tables import no_docs, some_docs
 from ordermill.llm import language as L
@@ -110,3 +112,15 @@ def test_the_sample_of_a_language_is_bounded(spark, monkeypatch):
     L.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
     sizes = {name: [len(t.encode()) for t in texts] for name, texts in taken.items()}
     assert sizes == {"many": [200] * L.TEXTS_PER_LANGUAGE, "one": [60_000], "whole": [50_000]}
+
+
+def test_long_texts_give_windows_from_all_of_them(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(10_000))
+    rows = spark.createDataFrame([(text, 6000, 1), (text, 6000, 2), (text, 100_000, 3), ("é", 1, 4)], "text string, most int, h long")
+    found = {r.h: r.w for r in rows.select("h", L.windows(F.col("text"), F.col("most"), F.col("h")).alias("w")).collect()}
+    assert found[3] == text and found[4] == "é" and found[1] != found[2]
+    for k in range(4):  # 2,000 of the characters, 500 of each quarter in a row
+        part = found[1][500 * k : 500 * (k + 1)]
+        at = text.index(part[0])
+        assert text[at : at + 500] == part and 2500 * k <= at <= 2500 * k + 2000
+    assert len(found[1]) == 2000
