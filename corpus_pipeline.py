@@ -25,12 +25,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     ship_package(spark)
     model = language.fit(docs)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    known = (F.col("bits_per_byte") - WORST_BITS) * F.octet_length("text") <= MARGIN_BITS
-    found = language.predict(rows, model).where((F.col("lang_pred") != language.UNKNOWN) & known)
     if model is None:
-        found = rows.where(F.col("text").rlike(r"\p{L}"))
-    return found.select("row.*")
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    names = {c: f"_column{i}" for i, c in enumerate(docs.columns) if c != "text"}  # none that the operator makes
+    known = (F.col("bits_per_byte") - WORST_BITS) * F.octet_length("text") <= MARGIN_BITS
+    found = language.predict(docs.withColumnsRenamed(names), model).where((F.col("lang_pred") != language.UNKNOWN) & known)
+    return found.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from ordermill.llm.worker import held_by
+
 WORDS_PER_SHINGLE = 5
 SLICE_BYTES = 1 << 20  # texts are worked on in groups of about so many bytes; a longer text is a group of its own
 
@@ -50,8 +52,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _kept[0][:n], _kept[1][:n]
 
 
-def forget_powers() -> None:
-    _kept.clear()
+held_by("powers", _kept.clear)
 
 
 def utf8(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -20,11 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import SLICE_BYTES, slices, utf8
+from ordermill.llm.worker import begin
 
 ORDER = 4
 TEXTS_PER_LANGUAGE = 300  # the sample: so many texts at most of each language, chosen by a hash
 BYTES_PER_LANGUAGE = 6_000_000  # shared evenly by a language's texts in the sample; a longer text gives windows from all of it
 WINDOW_CHARS = 500
+PIECE_BYTES = 1 << 18  # bytes scored at a time, so that memory does not follow the length of a text
 EVIDENCE_BYTES = 64  # the score weighs the languages as if the text had at most so many bytes
 UNKNOWN = "und"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -119,13 +121,22 @@ class Model:
 
     def code_lengths(self, data: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Bits of each text (rows) in each language (columns)."""
-        n = len(self.languages)
-        bits = np.zeros((len(places) - 1, n))
-        if not len(data):
-            return bits
-        whole = grams(data, places)
-        costs = np.zeros((len(data), n), np.float32)
-        left = np.arange(len(data))
+        bits = np.zeros((len(places) - 1, len(self.languages)))
+        for low in range(0, len(data), PIECE_BYTES):
+            high = min(low + PIECE_BYTES, len(data))
+            first, last = int(np.searchsorted(places, low, "right")) - 1, int(np.searchsorted(places, high))
+            begins = max(low - ORDER, int(places[first]))  # the contexts of a text that the piece cuts
+            costs = self._costs(grams(data[begins:high], np.clip(places[first : last + 1], begins, high) - begins)[low - begins :])
+            edges = np.clip(places[first : last + 1], low, high) - low
+            filled = np.flatnonzero(np.diff(edges))
+            for i in range(bits.shape[1]):
+                bits[first + filled, i] += np.add.reduceat(costs[:, i], edges[:-1][filled], dtype=np.float64)
+        return bits
+
+    def _costs(self, whole: np.ndarray) -> np.ndarray:
+        """Bits of each byte, named by its gram, in each language."""
+        costs = np.zeros((len(whole), len(self.languages)), np.float32)
+        left = np.arange(len(whole))
         for k in range(ORDER, -1, -1):
             table, known, beyond, escapes = self.orders[k]
             key = whole[left] & ((1 << (8 * (k + 1))) - 1)
@@ -139,10 +150,7 @@ class Model:
             seen = slot >= 0
             costs[left[seen]] += escapes[slot[seen]]
         costs[left] += 8.0
-        filled = np.flatnonzero(np.diff(places))
-        for i in range(n):
-            bits[filled, i] = np.add.reduceat(costs[:, i], places[:-1][filled], dtype=np.float64)
-        return bits
+        return costs
 
 
 def windows(text: Column, most: Column, seed: Column) -> Column:
@@ -190,18 +198,21 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     Null texts, texts without a letter and any text without a model are ``und`` with score 0 and null bits_per_byte.
     Of languages with equal codes the first by name wins.  Rows are kept one for one; an empty table stays empty.
     """
-    made = ("lang_pred", "score", "bits_per_byte")
-    named = docs.drop(*made).withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    schema = named.drop("_letter").selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(NULL AS DOUBLE) AS bits_per_byte").schema
+    made, letter = ("lang_pred", "score", "bits_per_byte"), "_letter"
+    while letter in map(str.lower, docs.columns):
+        letter += "_"
+    named = docs.drop(*made).withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    schema = named.drop(letter).selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(NULL AS DOUBLE) AS bits_per_byte").schema
     held = docs.sparkSession.sparkContext.broadcast(model)  # one copy for each worker, dropped with the next stage's tasks
     most = SLICE_BYTES * 4 // max(4, len(model.languages) if model else 1)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         frozen = held.value
         for batch in batches:
             for some in slices(batch, "text", most):
-                letters = np.asarray(some.column("_letter"))
-                kept = [some.column(c) for c in some.schema.names if c != "_letter"]
+                letters = np.asarray(some.column(letter))
+                kept = [some.column(c) for c in some.schema.names if c != letter]
                 if frozen is None:
                     found = [[UNKNOWN] * some.num_rows, np.zeros(some.num_rows), [None] * some.num_rows]
                 else:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.storage import new_folder, settle_table
 from ordermill.llm.tokens import encoded
+from ordermill.llm.worker import begin
 
 MAGIC = b"PFOR\x01\x00\x00\x00"
 BLOCK = 4096
@@ -218,6 +219,7 @@ def read_token_files(files: DataFrame, folder: str) -> DataFrame:
                  pa.array([name] * len(rows), pa.string())], ["doc_id", "start", "n_tokens", "ids_crc32", "file"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         system, root = pafs.FileSystem.from_uri(folder if ":/" in folder else f"file://{os.path.abspath(folder)}")
         for batch in batches:
             for name, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):

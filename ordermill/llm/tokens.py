@@ -12,7 +12,8 @@ from string import ascii_lowercase
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from ordermill.llm.columns import forget_powers, slices
+from ordermill.llm.columns import slices
+from ordermill.llm.worker import begin, held_by
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
 
@@ -79,12 +80,15 @@ class WordIds(dict):
 
 @lru_cache(1)
 def word_ids(path: str) -> WordIds:
-    forget_powers()  # of an earlier stage in this worker
     return WordIds(path)
 
 
+held_by("words", word_ids.cache_clear)
+
+
 def encoded(batches: Iterator[pa.RecordBatch], column: str, path: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Runs of rows with the ids of their texts; a null text has none."""
+    begin("words")
     ids = word_ids(path)
     for batch in batches:
         for some in slices(batch, column):

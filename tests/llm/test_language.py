@@ -62,6 +62,14 @@ def test_next_bytes_have_probability_one():
     assert np.exp2(whole - bits).sum(0) == pytest.approx([1, 1], rel=1e-3)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+def test_pieces_do_not_change_code_lengths(monkeypatch, size):
+    model, texts = L.Model(SAMPLES), pa.array(["", "abracadabra xyzzy", "q", "", "plugh " * 9, "é", ""])
+    whole = model.code_lengths(*utf8(texts))
+    monkeypatch.setattr(L, "PIECE_BYTES", size)
+    assert model.code_lengths(*utf8(texts)) == pytest.approx(whole, rel=1e-9)
+
+
 def test_table_finds_just_its_keys():
     rng = random.Random(1)
     keys = np.array(sorted({rng.randrange(1 << 40) for _ in range(5000)}))
