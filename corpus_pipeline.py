@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, language, mixing, near_duplicates, token_files
+from ordermill.llm.names import aside
 from ordermill.llm.queries import WORD_BPE, table
 from ordermill.llm.shipping import ship_package
 from ordermill.llm.storage import settle_table
@@ -27,10 +28,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.fit(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    names = {c: f"_column{i}" for i, c in enumerate(docs.columns) if c != "text"}  # none that the operator makes
+    rows, back = aside(docs, "text")
     known = (F.col("bits_per_byte") - WORST_BITS) * F.octet_length("text") <= MARGIN_BITS
-    found = language.predict(docs.withColumnsRenamed(names), model).where((F.col("lang_pred") != language.UNKNOWN) & known)
-    return found.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
+    found = language.predict(rows, model).where((F.col("lang_pred") != language.UNKNOWN) & known)
+    return back(found)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,11 +51,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat id, source and text meet their numbers of copies one by one.
     """
     ship_package(spark)
-    copies = mixing.mix(docs).groupBy(F.xxhash64("doc_id", "source", "_text").alias("_mix_key")).agg(F.sort_array(F.collect_list(F.col("copies").cast("int"))).alias("_mix_copies"))
-    named = docs.withColumn("_mix_key", F.xxhash64("doc_id", "source", F.xxhash64("text")))
+    rows, back = aside(docs, "doc_id", "source", "text")
+    copies = mixing.mix(rows).groupBy(F.xxhash64("doc_id", "source", "_text").alias("_mix_key")).agg(F.sort_array(F.collect_list(F.col("copies").cast("int"))).alias("_mix_copies"))
+    named = rows.withColumn("_mix_key", F.xxhash64("doc_id", "source", F.xxhash64("text")))
     named = named.withColumn("_mix_row", F.row_number().over(Window.partitionBy("_mix_key").orderBy("_mix_key")))
     taken = named.join(copies, "_mix_key").withColumn("_mix_times", F.element_at("_mix_copies", F.col("_mix_row")))
-    return taken.where("_mix_times > 0").withColumn("_mix_time", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))).select(*docs.columns)
+    return back(taken.where("_mix_times > 0").withColumn("_mix_time", F.explode(F.sequence(F.lit(1), F.col("_mix_times")))))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.columns import SLICE_BYTES, slices, utf8
+from ordermill.llm.names import free_name
 from ordermill.llm.worker import begin
 
 ORDER = 4
@@ -198,9 +199,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     Null texts, texts without a letter and any text without a model are ``und`` with score 0 and null bits_per_byte.
     Of languages with equal codes the first by name wins.  Rows are kept one for one; an empty table stays empty.
     """
-    made, letter = ("lang_pred", "score", "bits_per_byte"), "_letter"
-    while letter in map(str.lower, docs.columns):
-        letter += "_"
+    made, letter = ("lang_pred", "score", "bits_per_byte"), free_name("_letter", docs.columns)
     named = docs.drop(*made).withColumn(letter, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     schema = named.drop(letter).selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(NULL AS DOUBLE) AS bits_per_byte").schema
     held = docs.sparkSession.sparkContext.broadcast(model)  # one copy for each worker, dropped with the next stage's tasks

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ordermill.llm.columns import as_list, mix, slices, utf8, word_hashes, words
 from ordermill.llm.components import Forest
 from ordermill.llm.near_duplicates import _group_ids, _runs, block_pairs
+from ordermill.llm.names import aside
 from ordermill.llm.storage import new_folder, read_arrow, settle_at, settle_table
 
 THRESHOLD = 0.8
@@ -389,4 +390,5 @@ def without_repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> Dat
     found = repeated_lines(docs, threshold).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), F.col("removed").alias("_removed"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_removed", i)), "\n")
-    return docs.join(found, same).withColumn("text", kept).select(*docs.columns)
+    rows, back = aside(docs, "doc_id", "text")
+    return back(rows.join(found, same).withColumn("text", kept))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.columns import as_list, hashed_words, mix, powers, shingles, slices
 from ordermill.llm.components import Forest, connected_components
+from ordermill.llm.names import aside
 from ordermill.llm.storage import settle_table
 
 THRESHOLD = 0.8
@@ -332,8 +333,9 @@ def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFram
     id and words one.  Texts without a word all stay.
     """
     found = _classed(docs, threshold).where("node <> 0 AND node = kept AND doc_id <=> class_id").select(F.col("doc_id").alias("_doc"), F.col("node").alias("_kept")).distinct()
-    named = with_nodes(docs)
+    rows, back = aside(docs, "doc_id", "text")
+    named = with_nodes(rows)
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_node") == F.col("_kept"))
     number = F.row_number().over(Window.partitionBy("doc_id", "_node").orderBy("_node"))
     first = named.where("_node <> 0").join(found, same).withColumn("_number", number).where("_number = 1")
-    return first.select(*docs.columns).union(named.where("_node = 0").select(*docs.columns))
+    return back(first).union(back(named.where("_node = 0")))

@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 KINDS = "doc_id long, text string, lang string, source string, n_chars long, score double, `_part` int, before string"
 
 
@@ -19,5 +21,11 @@ def some_docs(spark, n=60, seed=1, kinds=KINDS):
     return spark.createDataFrame(rows, kinds).repartition(5)
 
 
+def with_clashes(docs):
+    """``docs`` and columns of the names that operators give to columns of their own."""
+    own = ["_letter", "_node", "_doc", "_kept", "_number", "_mix_key", "_mix_copies", "_mix_row", "_text", "_removed", "_size", "_crc", "_id", "_shard", "_slot", "_copy"]
+    return docs.withColumns({c: F.lit(f"own {c}") for c in own})
+
+
 def no_docs(spark, kinds=KINDS):
     return spark.createDataFrame([], kinds)

@@ -10,7 +10,7 @@ import test_decontaminate
 import test_mixing
 import test_near_duplicates
 from conftest import DATA
-from llm_tables import KINDS, no_docs, some_docs
+from llm_tables import KINDS, no_docs, some_docs, with_clashes
 from ordermill.llm import mixing
 from ordermill.llm.queries import WORD_BPE
 
@@ -68,10 +68,13 @@ def test_run_is_its_stages(spark):
 
 
 def test_odd_rows_pass_every_stage(spark):
-    for docs in (some_docs(spark).withColumn("_mix_row2", F.lit(1)), no_docs(spark, KINDS)):
+    for docs in (with_clashes(some_docs(spark)), no_docs(spark, KINDS)):
         n = docs.count()
         for _, stage in P.STAGES[:-1]:
             after = stage(spark, docs, DATA).cache()
             assert after.columns == docs.columns and (n > 0 or after.count() == 0)
+            if n:
+                assert 0 < after.count() and {r["_node"] for r in after.collect()} == {"own _node"}
+                assert after.select("_mix_key", "_doc", "_letter").distinct().collect() == [("own _mix_key", "own _doc", "own _letter")]
             docs = after
         assert P.token_output(spark, docs, DATA).count() == docs.count()

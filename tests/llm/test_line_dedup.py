@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from llm_tables import no_docs, some_docs
+from llm_tables import no_docs, some_docs, with_clashes
 from ordermill.llm import line_dedup as D
 
 
@@ -69,8 +69,8 @@ def test_lines_are_cut_at_breaks():
 
 def test_texts_lose_the_lines(spark, docs):
     found = {(r.doc_id, r.text_hash): r.removed for r in D.repeated_lines(docs).collect()}
-    kept = D.without_repeated_lines(docs.withColumn("_removed_too", F.lit(1)))
-    assert kept.columns == ["doc_id", "text", "_removed_too"] and kept.count() == docs.count()
+    kept = D.without_repeated_lines(with_clashes(docs))
+    assert kept.columns == with_clashes(docs).columns and kept.count() == docs.count() and {(r["_doc"], r["_text"], r["_removed"]) for r in kept.collect()} == {("own _doc", "own _text", "own _removed")}
     expected = [(r.doc_id, None if r.text is None else "\n".join(x for k, x in enumerate(r.text.split("\n")) if k not in found[r.doc_id, r.h]))
                 for r in docs.withColumn("h", F.xxhash64("text")).collect()]
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
