@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import DATA
@@ -72,3 +73,43 @@ def test_no_rows(spark):
     docs = some_docs(spark)
     assert M.score(no_docs(spark), M.fit(docs)).count() == 0
     assert all(r.base_score == 0 and r.n_known == 0 for r in M.score(docs, M.fit(docs.limit(0))).collect())
+
+
+def test_a_word_in_its_class_depends_on_the_words_before(spark):
+    train = spark.createDataFrame([(i, "one redot" if i % 2 else "two bluot") for i in range(400)], "doc_id long, text string")
+    texts = spark.createDataFrame([(1, "one redot"), (2, "one bluot"), (3, "two bluot"), (4, "two redot")], "doc_id long, text string")
+    model = M.fit(train)
+    for most in (M.BROADCAST_WORDS, 0):
+        score = {r.doc_id: r.score for r in M.score(texts, model, most).collect()}
+        assert score[1] > score[2] + 0.3 and score[3] > score[4] + 0.3
+
+
+def test_score_is_the_softmax_over_all_words_of_the_class(spark):
+    docs = some_docs(spark, 30)
+    model, rows = M.fit(docs), docs.collect()
+    words = {}
+    for text in [r.text for r in rows]:
+        hashes, tails, _ = M.tokens(_batch(text))
+        for h, tail in zip(hashes.tolist(), tails, strict=True):
+            words[h] = [tail, words.get(h, [0, 0])[1] + 1]
+
+    def of(text):
+        hashes, tails, counts = M.tokens(_batch(text))
+        total = 0.0
+        for at, (h, tail) in enumerate(zip(hashes.tolist(), tails, strict=True)):
+            found, own = M.features(hashes, counts)[:, at], model.class_of[tail]
+            weight = lambda w: sum(float(model.word_weights[t, own, v, found[t] % M.SLOTS]) for t in range(3) for v in (w >> 60, 16 + (w >> 56) % 16))  # noqa: B023, E731
+            raised = {w: (n + 0.1) * math.exp(weight(w)) for w, (kind, n) in words.items() if model.class_of[kind] == own}
+            scores = model.bias + sum(model.weights[t, :, found[t]] for t in range(3))
+            total += math.log10(math.exp(scores[own]) / np.exp(scores).sum() * raised.get(h, 0.1) / (sum(raised.values()) + 0.1))
+        return total
+
+    unknown = spark.createDataFrame([(-5, "nobody ever wrote the quixotic")], "doc_id long, text string")
+    found = {(r.doc_id, r.n_tokens): r.score for r in M.score(docs.select("doc_id", "text").union(unknown), model).collect()}
+    for r in [*rows, *unknown.collect()]:
+        if len(tokens_of(r.text)) < 100:
+            assert found[r.doc_id, len(tokens_of(r.text))] == pytest.approx(of(r.text), rel=1e-5)
+
+
+def _batch(text):
+    return pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
