@@ -14,7 +14,6 @@ from ordermill.llm.positions import running_sums
 from ordermill.llm.storage import settle_table
 
 BITS = 6  # each dimension has at most 2**BITS steps
-SAMPLE = 20_000  # rows, about, from which the steps' edges are read; they shape the curve, never the result's completeness
 ROW_BYTES = 16
 
 
@@ -46,20 +45,21 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def step_edges(rows: DataFrame, dimensions: list[str], bits: int = BITS, sample: int = SAMPLE) -> list[list]:
-    """At most ``2**bits - 1`` values of each dimension, about as many rows between each two.
+def step_edges(rows: DataFrame, dimensions: list[str], bits: int = BITS) -> list[list]:
+    """At most ``2**bits - 1`` values of each dimension, as many rows between each two as whole values allow.
 
-    Read from rows chosen by a hash, about ``sample`` of them, so the driver gets a bounded number.
+    They are the exact quantiles of all rows with a value: each distinct value is counted, running sums of the counts
+    give the places at which it stands in order, and the driver gets the values at the steps' places alone.
     """
-    keys = rows.select(*dimensions, F.pmod(F.xxhash64("doc_id", *dimensions), F.lit(1 << 40)).alias("_h"))
-    total = keys.agg(F.count(F.lit(1))).first()[0]
-    chosen = keys.where(F.col("_h") < (1 << 40) * min(1.0, sample / max(total, 1))).drop("_h").limit(4 * sample).collect()
+    steps = 1 << bits
     edges = []
-    for i in range(len(dimensions)):
-        values = sorted(r[i] for r in chosen if r[i] is not None)
-        steps = 1 << bits
-        picked = sorted({values[len(values) * k // steps] for k in range(1, steps)}) if values else []
-        edges.append(picked)
+    for name in dimensions:
+        counts = rows.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        placed = running_sums(counts, ["value"], "n")
+        total = placed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        first = F.greatest(F.expr(f"(before * {steps} + {max(total, 1) - 1}) DIV {max(total, 1)}"), F.lit(1))  # the first step at or after the value's first place
+        at_step = (first < steps) & (F.expr(f"{total}L") * first < (F.col("before") + F.col("n")) * steps)
+        edges.append(sorted(r[0] for r in placed.where(at_step).select("value").collect()))
     return edges
 
 

@@ -31,6 +31,18 @@ def test_counts_differ_by_one_and_slots_are_gapless(spark, shards):
     assert order == sorted(order)
 
 
+def test_steps_are_quantiles_of_all_rows(spark):
+    rows = spark.range(50_000).selectExpr("id * 7 AS doc_id", "CASE WHEN id % 10 < 3 THEN 5L WHEN id % 10 < 9 THEN id * id % 1000 END AS size",
+                                          "CAST(id % 90 AS STRING) AS source", "CAST(NULL AS STRING) AS lang")
+    names, held = ["source", "lang", "size", "doc_id"], rows.collect()
+    expected = []
+    for name in names:
+        values = sorted(r[name] for r in held if r[name] is not None)
+        expected.append(sorted({values[len(values) * k // 64] for k in range(1, 64)}) if values else [])
+    assert S.step_edges(rows, names) == expected
+    assert S.step_edges(rows.limit(0), names) == [[]] * 4 and S.step_edges(rows.where("doc_id = 7"), names)[3] == [7]
+
+
 def test_no_rows_and_missing_dimensions(spark):
     assert S.shard_rows(no_docs(spark), 40).count() == 0
     assert S.shard_rows(spark.createDataFrame([(5, "a"), (None, None)], "doc_id long, text string"), 40).count() == 2
