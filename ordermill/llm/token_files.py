@@ -88,7 +88,7 @@ class FileWriter:
 
     def __init__(self, sink, share: float = WIDTH_SHARE):
         self.sink, self.share = sink, share
-        self.at, self.ids, self.rest = len(MAGIC), 0, b""
+        self.at, self.ids, self.rest = len(MAGIC), 0, bytearray()
         self.starts: list[int] = []
         self.docs: list[int | None] = []
         self.counts: list[int] = []

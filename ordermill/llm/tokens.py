@@ -17,7 +17,7 @@ from ordermill.llm.worker import begin, held_by
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel units
 
-KEPT_WORDS = 300_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
+KEPT_WORDS = 600_000  # words remembered by a worker, twice: when so many are new, those not seen since the last time go
 LONGEST_KEPT = 64  # bytes of a remembered word
 _TAIL = re.compile(rb"(.*[A-Za-z0-9])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)  # signs after a letter or digit, no apostrophe
 _TAILS = (".", "?!", "$$$", "*_")
@@ -65,10 +65,10 @@ class WordIds(dict):
         if self.plain and word.isalpha() and word.islower():  # of ASCII alone
             return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
         if self.parted and len(word) <= LONGEST_KEPT and not self.added.search(low := word.lower()):
+            if tail := _TAIL.fullmatch(low):  # only what words have in common is remembered besides the word
+                return self[tail[1]] + self[tail[2]]
             if low != word:
                 return self[low]
-            if tail := _TAIL.fullmatch(word):
-                return self[tail[1]] + self[tail[2]]
         text = word.decode()
         if self.letters.keys() >= set(text):
             return array("I", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, text)))]).tobytes()

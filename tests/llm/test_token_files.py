@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from llm_tables import no_docs, some_docs
 from ordermill.llm import token_files as T
 from ordermill.llm.queries import WORD_BPE
-from ordermill.llm.tokens import word_ids
+from ordermill.llm.tokens import WordIds, word_ids
 
 
 @settings(max_examples=60, deadline=None)
@@ -61,3 +61,13 @@ def test_words_alone_are_encoded_as_in_the_text(parts):
     for text in (" ".join(parts), "".join(parts)):
         expected = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         assert words.of([text.encode()]) == [expected]
+
+
+def test_words_are_encoded_once_while_the_memory_holds_them(monkeypatch):
+    words, calls = WordIds(WORD_BPE), []
+    words.of([b"Mayor."])
+    assert set(words) == {b"Mayor.", b"mayor", b"."}
+    monkeypatch.setattr(words, "_encode", lambda word: calls.append(1) or b"")
+    text = " ".join(map(str, range(550_000))).encode()
+    words.of([text, text])
+    assert len(calls) == 550_000
